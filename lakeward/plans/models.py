@@ -90,6 +90,10 @@ class Run:
             self._built[name] = MODELS[name].build(self)
         return self._built[name]
 
+    def pin(self, name: str, df: DataFrame) -> None:
+        """Make dependants of ``name`` read ``df`` (e.g. its written copy)."""
+        self._built[name] = df
+
 
 # ---------------------------------------------------------------------------
 # staging

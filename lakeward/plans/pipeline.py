@@ -18,7 +18,7 @@ from lakeward.operators.landing import LoadStamp, landing_merge_feed, landing_re
 from lakeward.plans.landing_jobs import EXTRACTS
 from lakeward.plans.models import CDC_MODELS, Run
 from lakeward.sources.readers import DriverTables
-from lakeward.sources.scenario import mark_soft_deleted, yesterday_ops
+from lakeward.sources.scenario import ROLE_PERMILLE, mark_soft_deleted, yesterday_ops
 from lakeward.sources.schemas import ENTITIES
 from lakeward.sources.standin import operational_tables
 
@@ -32,10 +32,12 @@ def load_stamp(entity: str, day: int) -> LoadStamp:
 
 
 class TwoDayPipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, validate_keys: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, validate_keys: bool = True,
+                 rates: dict[str, int] | None = None):
         self.spark = spark
         self.tables = DriverTables(spark, sf_dir)
         self.validate_keys = validate_keys
+        self.rates = {**ROLE_PERMILLE, **(rates or {})}
         self._raw: dict[tuple[str, int], DataFrame] = {}
         self._runs: dict[int, Run] = {}
 
@@ -45,7 +47,7 @@ class TwoDayPipeline:
 
     @cached_property
     def yesterday_ops(self) -> dict[str, DataFrame]:
-        return yesterday_ops(self.today_ops)
+        return yesterday_ops(self.today_ops, self.rates)
 
     def ops(self, day: int) -> dict[str, DataFrame]:
         return self.today_ops if day == 2 else self.yesterday_ops
@@ -60,7 +62,7 @@ class TwoDayPipeline:
             df = landing_reload(self.extract(entity, day), spec, load_stamp(entity, day),
                                 self.validate_keys)
             if day == 2:
-                df = mark_soft_deleted(df, spec.key)
+                df = mark_soft_deleted(df, spec.key, self.rates["del"])
             self._raw[(entity, day)] = df
         return self._raw[(entity, day)]
 
@@ -71,7 +73,7 @@ class TwoDayPipeline:
         that an unchanged soft-deleted row stays deleted.
         """
         spec = ENTITIES[entity]
-        current = mark_soft_deleted(self.raw(entity, 1), spec.key)
+        current = mark_soft_deleted(self.raw(entity, 1), spec.key, self.rates["del"])
         return landing_merge_feed(current, self.extract(entity, 2), spec, load_stamp(entity, 2),
                                   self.validate_keys)
 

@@ -34,7 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed probe values for the vault lookups and the run times of the
 # re-run / freshness checks.
 LOOKUP_CUSTOMER_ID = 42
-LOOKUP_EMAIL = "household.42@Example.com"
+LOOKUP_EMAIL = "furniture.42@Example.com"
 RERUN_TS = datetime(2024, 1, 3, 1, 0, 0)
 FRESHNESS_AS_OF = datetime(2024, 1, 3, 12, 0, 0)
 

@@ -70,26 +70,28 @@ MUTATIONS = {
 }
 
 
-def yesterday_table(today: DataFrame, m: Mutation) -> DataFrame:
+def yesterday_table(today: DataFrame, m: Mutation, rates: dict[str, int] | None = None) -> DataFrame:
     """Yesterday's version of one operational entity table."""
-    kept = today.where(~picked(m.keys, "new")).withColumn(
-        m.column, F.when(picked(m.keys, "chg"), m.old_value(F.col(m.column))).otherwise(F.col(m.column))
+    r = {**ROLE_PERMILLE, **(rates or {})}
+    kept = today.where(~picked(m.keys, "new", r["new"])).withColumn(
+        m.column,
+        F.when(picked(m.keys, "chg", r["chg"]), m.old_value(F.col(m.column))).otherwise(F.col(m.column)),
     )
     first = m.keys[0]
-    gone = today.where(picked(m.keys, "gone")).withColumn(
+    gone = today.where(picked(m.keys, "gone", r["gone"])).withColumn(
         first, (-(F.col(first) + 1)).cast(today.schema[first].dataType)
     )
     return kept.unionByName(gone)
 
 
-def yesterday_ops(today_ops: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def yesterday_ops(today_ops: dict[str, DataFrame], rates: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Operational tables as they were one day earlier."""
     ops = dict(today_ops)
     for m in MUTATIONS.values():
-        ops[m.table] = yesterday_table(today_ops[m.table], m)
+        ops[m.table] = yesterday_table(today_ops[m.table], m, rates)
     return ops
 
 
-def mark_soft_deleted(raw: DataFrame, keys: Sequence[str], role: str = "del") -> DataFrame:
+def mark_soft_deleted(raw: DataFrame, keys: Sequence[str], permille: int | None = None) -> DataFrame:
     """Flag the rows the source soft-deleted (``_is_deleted = true``)."""
-    return raw.withColumn(IS_DELETED, F.col(IS_DELETED) | picked(keys, role))
+    return raw.withColumn(IS_DELETED, F.col(IS_DELETED) | picked(keys, "del", permille))
