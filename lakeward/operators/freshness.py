@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeward.functions.time import ntz
 from lakeward.sources.schemas import INGESTED_AT, EntitySpec
 
 
@@ -26,9 +27,9 @@ def freshness(
     ``as_of`` is passed in (never ``now()`` inside the plan) so the check is
     reproducible.  A table with no rows has no newest load and is ``error``.
     """
-    now = F.lit(as_of).cast(T.TimestampNTZType())
-    newest = F.max(loaded_at_field)
-    age_s = F.unix_timestamp(now.cast(T.TimestampType())) - F.unix_timestamp(newest.cast(T.TimestampType()))
+    now = ntz(as_of)
+    newest = F.max(F.col(loaded_at_field).cast(T.TimestampNTZType()))
+    age_s = F.timestamp_diff("SECOND", newest, now)
     status = (
         F.when(newest.isNull(), "error")
         .when(age_s > error_after_days * 86400, "error")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.functions.hashing import row_fingerprint
+from lakeward.functions.time import ntz
 from lakeward.operators.keys import assert_unique_keys, presence_join
 from lakeward.sources.schemas import (
     BATCH_ID,
@@ -54,7 +55,7 @@ class LoadStamp:
         return LoadStamp(str(uuid.uuid4()), now.replace(microsecond=0, tzinfo=None))
 
     def ingested_col(self) -> Column:
-        return F.lit(self.ingested_at).cast(T.TimestampNTZType())
+        return ntz(self.ingested_at)
 
 
 def fingerprinted(source: DataFrame, spec: EntitySpec) -> DataFrame:

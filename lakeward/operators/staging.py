@@ -6,8 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lakeward.functions.time import ntz
 from lakeward.sources.schemas import IS_DELETED, LINEAGE, LOADED_AT, EntitySpec
 
 
@@ -21,7 +21,7 @@ def live_rows(raw: DataFrame) -> DataFrame:
 
 def loaded_at(run_ts: datetime):
     """The run's load stamp as a literal (deterministic across reruns)."""
-    return F.lit(run_ts).cast(T.TimestampNTZType()).alias(LOADED_AT)
+    return ntz(run_ts).alias(LOADED_AT)
 
 
 def stage(raw: DataFrame, spec: EntitySpec, run_ts: datetime) -> DataFrame:
