@@ -33,3 +33,11 @@ def batch_audit(raw_tables: Mapping[str, DataFrame]) -> DataFrame:
         F.min(INGESTED_AT).alias("first_ingested_at"),
         F.count_distinct(BATCH_ID).alias("batches"),
     )
+
+
+def tables_per_layer(models: Mapping[str, object]) -> list[tuple[str, int]]:
+    """``(layer, number of models)`` from the model catalog (no data is read)."""
+    counts: dict[str, int] = {}
+    for info in models.values():
+        counts[info.layer] = counts.get(info.layer, 0) + 1
+    return sorted(counts.items())

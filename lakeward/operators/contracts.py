@@ -7,7 +7,9 @@ Five test kinds, with the failure counts of the generic tests they mirror:
 * ``unique``          – distinct non-NULL values that occur more than once;
 * ``unique_combination_of_columns`` – column combinations occurring more
   than once;
-* ``relationships``   – non-NULL child rows whose value has no parent row.
+* ``relationships``   – non-NULL child rows whose value has no parent row;
+* ``expression_is_true`` – rows where a SQL expression is false (NULL
+  results do not fail), for documented identities such as totals.
 
 Each test has a severity (``error`` by default, or ``warn``); the status
 is ``pass`` without failures, else ``warn`` or ``fail`` by severity.
@@ -34,6 +36,7 @@ UNIQUE = "unique"
 ACCEPTED = "accepted_values"
 RELATIONSHIPS = "relationships"
 UNIQUE_COMBO = "unique_combination_of_columns"
+EXPRESSION = "expression_is_true"
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), False),
@@ -54,6 +57,8 @@ class ContractTest:
     values: tuple = ()                 # accepted_values
     to: str | None = None              # relationships: parent model
     field: str | None = None           # relationships: parent column
+    expression: str | None = None      # expression_is_true
+    case_insensitive: bool = False     # accepted_values: ignore case and trailing spaces
 
     @property
     def column_name(self) -> str:
@@ -68,8 +73,16 @@ def unique(model: str, column: str, severity: str = "error") -> ContractTest:
     return ContractTest(model, UNIQUE, (column,), severity)
 
 
-def accepted_values(model: str, column: str, values: Sequence, severity: str = "error") -> ContractTest:
-    return ContractTest(model, ACCEPTED, (column,), severity, values=tuple(values))
+def accepted_values(model: str, column: str, values: Sequence, severity: str = "error",
+                    case_insensitive: bool = False) -> ContractTest:
+    """``case_insensitive`` compares like a case-insensitive, trailing-space
+    insensitive collation ('m ' is accepted for 'M')."""
+    return ContractTest(model, ACCEPTED, (column,), severity, values=tuple(values),
+                        case_insensitive=case_insensitive)
+
+
+def expression_is_true(model: str, name: str, expression: str, severity: str = "error") -> ContractTest:
+    return ContractTest(model, EXPRESSION, (name,), severity, expression=expression)
 
 
 def relationships(model: str, column: str, to: str, field: str, severity: str = "error") -> ContractTest:
@@ -86,12 +99,18 @@ def unique_combination(model: str, columns: Sequence[str], severity: str = "erro
 
 def _bad_value(t: ContractTest) -> Column:
     c = F.col(t.columns[0])
+    if t.case_insensitive:
+        folded = F.lower(F.rtrim(c.cast(T.StringType())))
+        allowed = [str(v).lower().rstrip() for v in t.values]
+        return F.when(c.isNotNull() & ~folded.isin(allowed), folded)
     return F.when(c.isNotNull() & ~c.isin(list(t.values)), c)
 
 
 def _scan_metric(t: ContractTest) -> Column:
     if t.test == NOT_NULL:
         return F.count(F.when(F.col(t.columns[0]).isNull(), F.lit(1)))
+    if t.test == EXPRESSION:
+        return F.count(F.when(~F.expr(t.expression), F.lit(1)))
     return F.count_distinct(_bad_value(t))
 
 
@@ -150,7 +169,7 @@ def run_contracts(
         by_model.setdefault(t.model, []).append(t)
     for model_name, model_tests in by_model.items():
         df = tables[model_name]
-        scanned = [t for t in model_tests if t.test in (NOT_NULL, ACCEPTED)]
+        scanned = [t for t in model_tests if t.test in (NOT_NULL, ACCEPTED, EXPRESSION)]
         if scanned:
             agg = df.agg(*scan_failures(df, scanned))
             rows = [

@@ -172,3 +172,20 @@ def rows_affected(feed: DataFrame) -> DataFrame:
     return feed.where(F.col(CHANGE_TYPE).isin("insert", "update")).agg(
         F.count(F.lit(1)).alias("rows_affected")
     )
+
+
+def append_stamp(source: DataFrame, source_system: str, load_ts: datetime) -> DataFrame:
+    """Stamp an extract for the append-only landing layout.
+
+    Adds ``_load_ts`` (load time), ``_load_dt`` (its date), ``_source_system``
+    and ``_is_active = true``; the result is meant for
+    ``df.write.mode("append")`` (each load adds rows, nothing is merged).
+    """
+    ts = ntz(load_ts)
+    return source.select(
+        "*",
+        ts.alias("_load_ts"),
+        ts.cast(T.DateType()).alias("_load_dt"),
+        F.lit(source_system).alias(SOURCE_SYSTEM),
+        F.lit(True).alias("_is_active"),
+    )

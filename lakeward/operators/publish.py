@@ -60,6 +60,15 @@ class SnapshotStore:
         self._known[name] = (int(rows[0]["version"]), rows[0]["path"], None)
         return self._known[name]
 
+    def committed_mode(self, name: str) -> str | None:
+        """The ``mode`` tag recorded with the latest committed version."""
+        try:
+            log = self.spark.read.schema(LOG_SCHEMA).json(self._log_path(name))
+            rows = log.orderBy(F.col("version").desc()).limit(1).collect()
+        except Exception:
+            return None
+        return rows[0]["mode"] if rows else None
+
     def version(self, name: str) -> int | None:
         latest = self._latest(name)
         return None if latest is None else latest[0]
@@ -121,3 +130,13 @@ def leak_check(published: Mapping[str, DataFrame], pii: set[str]) -> list[tuple[
 
 def excluded(tags: Iterable[str], exclude_tags: Iterable[str]) -> bool:
     return bool(set(tags) & set(exclude_tags))
+
+
+def schema_name(custom_schema: str | None, default_schema: str) -> str:
+    """Layer schema used verbatim (no target prefix); the default when unset."""
+    return default_schema if custom_schema is None else custom_schema.strip()
+
+
+def table_path(base: str, layer_schema: str | None, name: str, default_schema: str = "dbo") -> str:
+    """``<base>/<schema>/<name>`` for a model written in ``layer_schema``."""
+    return f"{base.rstrip('/')}/{schema_name(layer_schema, default_schema)}/{name}"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from lakeward.operators.contracts import (
     ContractTest,
     accepted_values,
+    expression_is_true,
     not_null,
     relationships,
     unique,
@@ -138,3 +139,13 @@ def declared_tests() -> list[ContractTest]:
     t += _nn(m, "order_qty", "unit_price", "line_total", "sub_total", "total_due", "_ingested_at",
              "_source_system", "_dbt_loaded_at")
     return t
+
+
+def documented_identities() -> list[ContractTest]:
+    """Identities the documentation states but no declared test checks."""
+    return [
+        expression_is_true("stg_erp__order_headers", "total_due_identity",
+                           "total_due = sub_total + tax_amt + freight", "warn"),
+        expression_is_true("stg_erp__order_details", "line_total_identity",
+                           "line_total = order_qty * unit_price * (1 - unit_price_discount)", "warn"),
+    ]

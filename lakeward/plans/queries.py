@@ -21,9 +21,14 @@ from lakeward.operators.audit import batch_audit, load_summary
 from lakeward.operators.contracts import run_contracts
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness
-from lakeward.operators.landing import landing_reload
+from lakeward.operators.landing import append_stamp, landing_reload
 from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
-from lakeward.plans.contract_specs import SOURCE_ADDRESSES, SOURCE_CUSTOMERS, declared_tests
+from lakeward.plans.contract_specs import (
+    SOURCE_ADDRESSES,
+    SOURCE_CUSTOMERS,
+    declared_tests,
+    documented_identities,
+)
 from lakeward.plans.models import CDC_MODELS, MODELS, Run
 from lakeward.plans.pipeline import TwoDayPipeline, load_stamp
 from lakeward.sources.readers import DriverTables
@@ -37,6 +42,11 @@ LOOKUP_CUSTOMER_ID = 42
 LOOKUP_EMAIL = "furniture.42@Example.com"
 RERUN_TS = datetime(2024, 1, 3, 1, 0, 0)
 FRESHNESS_AS_OF = datetime(2024, 1, 3, 12, 0, 0)
+APPEND_LOAD_TS = datetime(2024, 1, 2, 6, 30, 0)
+APPEND_ORDER_HEADER_COLS = [
+    "sales_order_id", "revision_number", "order_date", "due_date", "ship_date", "status", "customer_id",
+    "sales_person_id", "territory_id", "sub_total", "tax_amt", "freight", "total_due",
+]
 
 
 def _pipe(spark: SparkSession, sf_dir: str) -> TwoDayPipeline:
@@ -154,29 +164,42 @@ def dedupe_latest_events(spark, sf_dir):
         "user_id", "event_id", "ts", "event_type", "value")
 
 
-def _all_tables(p: TwoDayPipeline) -> dict[str, DataFrame]:
+def _tables_for(p: TwoDayPipeline, tests) -> dict[str, DataFrame]:
+    """The day-2 tables the tests read (tested models and relationship parents)."""
     run = p.run(2)
-    tables = {name: run.ref(name) for name in MODELS}
-    tables[SOURCE_CUSTOMERS] = p.raw("customers", 2)
-    tables[SOURCE_ADDRESSES] = p.raw("addresses", 2)
-    return tables
+    sources = {SOURCE_CUSTOMERS: "customers", SOURCE_ADDRESSES: "addresses"}
+    names = {t.model for t in tests} | {t.to for t in tests if t.to}
+    return {n: p.raw(sources[n], 2) if n in sources else run.ref(n) for n in names}
+
+
+def _contracts(p: TwoDayPipeline, tests) -> DataFrame:
+    return run_contracts(_tables_for(p, tests), tests)
 
 
 def contract_report(spark, sf_dir):
     """All 207 declared tests over the day-2 run, one row per test."""
-    p = _pipe(spark, sf_dir)
-    return run_contracts(_all_tables(p), declared_tests())
+    return _contracts(_pipe(spark, sf_dir), declared_tests())
 
 
 def _contract_kind(kind: str) -> Query:
     def q(spark, sf_dir):
-        p = _pipe(spark, sf_dir)
-        return run_contracts(_all_tables(p), [t for t in declared_tests() if t.test == kind])
+        return _contracts(_pipe(spark, sf_dir), [t for t in declared_tests() if t.test == kind])
 
     q.__doc__ = f"Every declared {kind} test over the day-2 run."
     return q
 
 
+def contract_identities(spark, sf_dir):
+    """Documented order-total identities checked as expression contracts."""
+    return _contracts(_pipe(spark, sf_dir), documented_identities())
+
+
+def landing_append_order_headers(spark, sf_dir):
+    """Append-layout landing of order headers (load time/date, active flag)."""
+    h = _pipe(spark, sf_dir).extract("order_headers", 2).select(*APPEND_ORDER_HEADER_COLS)
+    return append_stamp(h, "ERP", APPEND_LOAD_TS)
+
+
 def freshness_report(spark, sf_dir):
     """Freshness of the seven raw tables at a fixed check time."""
     p = _pipe(spark, sf_dir)
@@ -264,6 +287,8 @@ def build_queries() -> dict[str, Query]:
     q["contract_report"] = contract_report
     for kind in ("not_null", "unique", "accepted_values", "relationships", "unique_combination_of_columns"):
         q[f"contract_{kind}"] = _contract_kind(kind)
+    q["contract_identities"] = contract_identities
+    q["landing_append_order_headers"] = landing_append_order_headers
     q["freshness_report"] = freshness_report
     q["vault_lookup_sk"] = vault_lookup_sk
     q["vault_lookup_id"] = vault_lookup_id

@@ -1 +1,11 @@
-"""streaming."""
+"""Structured Streaming entry points.
+
+The pipeline itself is batch: nothing in it needs watermarks, windows or
+streaming state.  What streams well is the certified publish step: each
+micro-batch of staged rows can be applied to a certified table exactly as a
+batch run would (:mod:`lakeward.streaming.micro_batch`).
+"""
+
+from lakeward.streaming.micro_batch import cdc_sink
+
+__all__ = ["cdc_sink"]

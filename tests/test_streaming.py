@@ -1,0 +1,33 @@
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from lakeward.operators.publish import SnapshotStore
+from lakeward.streaming import cdc_sink
+
+SCHEMA = "id int, v string, _ingested_at timestamp_ntz, _raw_hash string, _is_deleted boolean"
+
+
+def test_foreach_batch_applies_changes(spark, scratch):
+    inbox = f"{scratch}/inbox"
+    t1, t2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    spark.createDataFrame([(1, "a", t1, "h1", False), (2, "b", t1, "h2", False)], SCHEMA) \
+        .write.parquet(f"{inbox}/b1")
+    store = SnapshotStore(spark, f"{scratch}/store")
+    project = lambda s: s.select("id", "v", "_raw_hash", F.lit("x").alias("stamp"))
+
+    def run_stream():
+        q = (spark.readStream.schema(SCHEMA).parquet(f"{inbox}/*")
+             .writeStream.foreachBatch(cdc_sink(store, "t", ["id"], project))
+             .option("checkpointLocation", f"{scratch}/ckpt")
+             .trigger(availableNow=True).start())
+        q.awaitTermination(120)
+
+    run_stream()
+    assert sorted((r.id, r.v) for r in store.current("t").collect()) == [(1, "a"), (2, "b")]
+    # second batch: 1 changes, 2 is deleted, 3 arrives twice (newest wins)
+    spark.createDataFrame([(1, "A", t2, "h1x", False), (2, "b", t2, "h2", True),
+                           (3, "old", t1, "h3a", False), (3, "new", t2, "h3b", False)], SCHEMA) \
+        .write.parquet(f"{inbox}/b2")
+    run_stream()
+    assert sorted((r.id, r.v) for r in store.current("t").collect()) == [(1, "A"), (3, "new")]
