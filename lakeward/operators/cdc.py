@@ -17,7 +17,9 @@ projection picks the staged row (insert/update), the old target row
 
 Keys must be unique on both sides (checked on the staged side by
 default), exactly as a SQL ``MERGE`` refuses a double match.  Unique keys
-also mean the key join cannot be skewed.
+also mean the key join cannot be skewed.  On incremental runs the check is
+a guard inside the join's own shuffle (no extra pass over the data); on a
+first load it is one aggregation over the key columns.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.operators.keys import HIT, assert_unique_keys, presence_join
+from lakeward.operators.keys import HIT, assert_unique_keys, guard_unique, presence_join
 from lakeward.sources.schemas import RAW_HASH
 
 CHANGE_TYPE = "_change_type"
@@ -146,12 +148,12 @@ def apply_changes(
     is inserted.
     """
     keys = list(keys)
-    if validate_keys:
-        assert_unique_keys(staged, keys, "staged source")
-    incoming = project(staged)
     if target is None:
-        out = incoming
+        if validate_keys:
+            assert_unique_keys(staged, keys, "staged source")
+        out = project(staged)
         return out.withColumn(CHANGE_TYPE, F.lit(INSERT)) if with_change_type else out
+    incoming = project(guard_unique(staged, keys, "staged source") if validate_keys else staged)
 
     joined, s_hit, t_hit = presence_join(incoming, target, keys, "s_", "t_")
     take_source = s_hit & (~t_hit | _changed(hash_col))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HIT = "__hit"
@@ -33,6 +33,22 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "source")
         raise DuplicateKeyError(f"{what}: key {list(keys)} is not unique, e.g. {dup[0].asDict()}")
 
 
+def guard_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
+    """``df`` that fails its job when a key value repeats.
+
+    No extra pass: the guard is a ``row_number`` over ``partitionBy(keys)``,
+    whose hash exchange and sort are exactly what a following sort-merge
+    join on ``keys`` needs, so Spark reuses them.  The job fails at the
+    second row of a duplicated key (a hot key is not buffered first).
+    """
+    keys = list(keys)
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    msg = F.concat(F.lit(f"{what}: key {keys} is not unique, e.g. "),
+                   F.to_json(F.struct(*[F.col(k) for k in keys])))
+    numbered = df.withColumn("__key_rn", rn)
+    return numbered.where(F.when(F.col("__key_rn") > 1, F.raise_error(msg)).isNull()).drop("__key_rn")
+
+
 def presence_join(
     left: DataFrame,
     right: DataFrame,

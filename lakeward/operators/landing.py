@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from lakeward.functions.hashing import row_fingerprint
 from lakeward.functions.time import ntz
-from lakeward.operators.keys import assert_unique_keys, presence_join
+from lakeward.operators.keys import assert_unique_keys, guard_unique, presence_join
 from lakeward.sources.schemas import (
     BATCH_ID,
     INGESTED_AT,
@@ -108,11 +108,13 @@ def landing_merge_feed(
     (both sides, fingerprints differ), ``unchanged`` (both sides, equal or
     NULL fingerprint) or ``kept`` (key only in the current table: the upsert
     never deletes).  A duplicate key in the extract would make the merge
-    ambiguous, so it raises first.
+    ambiguous, so it fails the job.
     """
-    stamped = landing_reload(source, spec, load, validate_keys)
     if current is None:
-        return stamped.withColumn(CHANGE_TYPE, F.lit("insert"))
+        return landing_reload(source, spec, load, validate_keys).withColumn(CHANGE_TYPE, F.lit("insert"))
+    stamped = stamp(source, spec, load)
+    if validate_keys:  # guard inside the merge join's own shuffle: no extra pass
+        stamped = guard_unique(stamped, spec.key, f"landing source {spec.name}")
 
     joined, s_hit, t_hit = presence_join(stamped, current, list(spec.key), "s_", "t_")
     # Three-valued <>: a NULL fingerprint on either side is "not changed".

@@ -73,15 +73,22 @@ MUTATIONS = {
 def yesterday_table(today: DataFrame, m: Mutation, rates: dict[str, int] | None = None) -> DataFrame:
     """Yesterday's version of one operational entity table."""
     r = {**ROLE_PERMILLE, **(rates or {})}
-    kept = today.where(~picked(m.keys, "new", r["new"])).withColumn(
-        m.column,
-        F.when(picked(m.keys, "chg", r["chg"]), m.old_value(F.col(m.column))).otherwise(F.col(m.column)),
+    new, chg, gone = (picked(m.keys, role, r[role]) for role in ("new", "chg", "gone"))
+    # One pass: each row yields itself (variant 0) unless it is new, plus a
+    # copy under a vanished key (variant 1) if it is gone.
+    variants = F.filter(
+        F.array(F.when(~new, F.lit(0)), F.when(gone, F.lit(1))), lambda v: v.isNotNull()
     )
     first = m.keys[0]
-    gone = today.where(picked(m.keys, "gone", r["gone"])).withColumn(
-        first, (-(F.col(first) + 1)).cast(today.schema[first].dataType)
-    )
-    return kept.unionByName(gone)
+    rows = today.withColumn("__variant", F.explode(variants))
+    is_copy = F.col("__variant") == 1
+    return rows.select(*[
+        F.when(is_copy, (-(F.col(c) + 1)).cast(today.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+        if c == first else
+        F.when(~is_copy & chg, m.old_value(F.col(c))).otherwise(F.col(c)).alias(c)
+        if c == m.column else F.col(c)
+        for c in today.columns
+    ])
 
 
 def yesterday_ops(today_ops: dict[str, DataFrame], rates: dict[str, int] | None = None) -> dict[str, DataFrame]:

@@ -96,8 +96,10 @@ def test_composite_key_differing_in_one_part(spark):
 
 def test_duplicate_source_keys_raise(spark, target):
     dup = spark.createDataFrame([(1, "a", "", "h", None), (1, "b", "", "h", None)], SCHEMA)
-    with pytest.raises(DuplicateKeyError):
-        cdc.apply_changes(dup, target, ["id"])
+    with pytest.raises(DuplicateKeyError):  # first load: checked before building
+        cdc.apply_changes(dup, None, ["id"])
+    with pytest.raises(Exception, match="not unique"):  # incremental: the job fails
+        cdc.apply_changes(dup, target, ["id"]).collect()
 
 
 def test_schema_sync(spark, staged, target):

@@ -39,9 +39,10 @@ def test_apply_changes_shuffles_each_side_once(spark, scratch, static_plans):
     spark.createDataFrame([(i, "x", str(i)) for i in range(50)], s).write.parquet(f"{scratch}/t")
     spark.createDataFrame([(i, "y", str(i % 3)) for i in range(60)], s).write.parquet(f"{scratch}/s")
     target, staged = spark.read.parquet(f"{scratch}/t"), spark.read.parquet(f"{scratch}/s")
-    plan = physical(cdc.apply_changes(staged, target, ["id"], validate_keys=False))
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "SortMergeJoin" in plan
+    for validate in (False, True):  # the uniqueness guard reuses the join's shuffle
+        plan = physical(cdc.apply_changes(staged, target, ["id"], validate_keys=validate))
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert "SortMergeJoin" in plan
 
 
 def test_soft_delete_filter_reaches_parquet(spark, scratch):
