@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeward.operators.frames import union_all
+
 from lakeward.sources.schemas import BATCH_ID, INGESTED_AT, SOURCE_ENTITY
 
 
@@ -18,7 +19,7 @@ def load_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table"), "row_count")
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts).orderBy("table")
+    return union_all(parts).orderBy("table")
 
 
 def batch_audit(raw_tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -27,7 +28,7 @@ def batch_audit(raw_tables: Mapping[str, DataFrame]) -> DataFrame:
     A first full load must show exactly one batch per entity.
     """
     cols = [SOURCE_ENTITY, INGESTED_AT, BATCH_ID]
-    unioned = reduce(DataFrame.unionByName, [df.select(*cols) for df in raw_tables.values()])
+    unioned = union_all([df.select(*cols) for df in raw_tables.values()])
     return unioned.groupBy(SOURCE_ENTITY).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(INGESTED_AT).alias("first_ingested_at"),

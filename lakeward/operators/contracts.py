@@ -29,6 +29,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from lakeward.operators.frames import union_all
 from pyspark.sql import types as T
 
 NOT_NULL = "not_null"
@@ -188,7 +190,7 @@ def run_contracts(
             parts.append(res.select(*_result(t, F.col("failures"))))
     if not parts:
         raise ValueError("no tests to run")
-    out = reduce(DataFrame.unionByName, parts)
+    out = union_all(parts)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in RESULT_SCHEMA.fields])
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from lakeward.operators.frames import union_all
 from pyspark.sql import types as T
 
 from lakeward.functions.time import ntz
@@ -53,4 +54,4 @@ def check_freshness(raw_tables: Mapping[str, tuple[DataFrame, EntitySpec]], as_o
                   spec.freshness_warn_days, spec.freshness_error_days)
         for _, (df, spec) in raw_tables.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)

@@ -10,11 +10,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeward.operators.frames import union_all
+
 from lakeward.functions.hashing import surrogate_key
 from lakeward.operators import cdc
 from lakeward.operators.audit import batch_audit, load_summary
@@ -118,7 +119,7 @@ def cdc_change_counts(spark, sf_dir):
         staged, target, keys = _staged_and_target(p, cert)
         counts = cdc.change_counts(cdc.classify_changes(staged, target, keys))
         parts.append(counts.select(F.lit(cert).alias("model"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def cdc_first_load_customers(spark, sf_dir):

@@ -18,6 +18,10 @@ def get_spark(app: str = "lakeward", master: str | None = None, shuffle_partitio
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode runs everything in the driver JVM; its heap must be
+            # sized before the JVM starts (the default is 1 GiB)
+            b = b.config("spark.driver.memory", os.environ.get("LAKEWARD_DRIVER_MEMORY", "16g"))
     parts = shuffle_partitions or int(os.environ.get("LAKEWARD_SHUFFLE_PARTITIONS", "8"))
     b = (
         b.config("spark.ui.enabled", "false")
