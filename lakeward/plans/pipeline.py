@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeward.operators.keys import guard_unique
 from lakeward.operators.landing import LoadStamp, landing_merge_feed, landing_reload
 from lakeward.plans.landing_jobs import EXTRACTS
 from lakeward.plans.models import CDC_MODELS, Run
@@ -60,7 +61,10 @@ class TwoDayPipeline:
         if (entity, day) not in self._raw:
             spec = ENTITIES[entity]
             df = landing_reload(self.extract(entity, day), spec, load_stamp(entity, day),
-                                self.validate_keys)
+                                validate_keys=False)
+            if self.validate_keys:
+                # lazy guard inside the query's own plan (one job instead of two)
+                df = guard_unique(df, spec.key, f"landed {entity}")
             if day == 2:
                 df = mark_soft_deleted(df, spec.key, self.rates["del"])
             self._raw[(entity, day)] = df

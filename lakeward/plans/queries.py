@@ -22,7 +22,7 @@ from lakeward.operators.audit import batch_audit, load_summary
 from lakeward.operators.contracts import run_contracts
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness
-from lakeward.operators.landing import append_stamp, landing_reload
+from lakeward.operators.landing import append_stamp, landing_reload, rows_affected
 from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
 from lakeward.plans.contract_specs import (
     SOURCE_ADDRESSES,
@@ -41,6 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # re-run / freshness checks.
 LOOKUP_CUSTOMER_ID = 42
 LOOKUP_EMAIL = "furniture.42@Example.com"
+LOOKUP_NATIONAL_ID = "000332598"
 RERUN_TS = datetime(2024, 1, 3, 1, 0, 0)
 FRESHNESS_AS_OF = datetime(2024, 1, 3, 12, 0, 0)
 APPEND_LOAD_TS = datetime(2024, 1, 2, 6, 30, 0)
@@ -221,6 +222,34 @@ def vault_lookup_id(spark, sf_dir):
                   ["business_entity_id", "national_id_number", "login_id", "birth_date"])
 
 
+def vault_lookup_customer_id(spark, sf_dir):
+    """Clear-text PII for one customer id."""
+    vault = _pipe(spark, sf_dir).run(2).ref("int_pii_vault_customers")
+    return lookup(vault, "customer_id", LOOKUP_CUSTOMER_ID, ["customer_id", "name", "email_address", "phone"])
+
+
+def vault_lookup_employee_sk(spark, sf_dir):
+    """Clear-text PII for one employee surrogate key."""
+    vault = _pipe(spark, sf_dir).run(2).ref("int_pii_vault_employees")
+    sk = hashlib.md5(str(LOOKUP_CUSTOMER_ID).encode()).hexdigest()  # the key as published
+    return lookup(vault, "employee_sk", sk, ["employee_sk", "national_id_number", "login_id", "birth_date"])
+
+
+def vault_lookup_employee_hash(spark, sf_dir):
+    """Keys of the employees whose national id hashes like a given clear value."""
+    vault = _pipe(spark, sf_dir).run(2).ref("int_pii_vault_employees")
+    return lookup_by_clear_value(vault, "national_id_hash", LOOKUP_NATIONAL_ID, ["employee_sk", "business_entity_id"])
+
+
+def landing_rows_affected(spark, sf_dir):
+    """Rows each day-2 landing upsert inserted or updated, per raw table."""
+    p = _pipe(spark, sf_dir)
+    return union_all([
+        rows_affected(p.merge_feed(e)).select(F.lit(f"{s.raw_schema_name}.{e}").alias("table"), "rows_affected")
+        for e, s in ENTITIES.items()
+    ])
+
+
 def vault_lookup_hash(spark, sf_dir):
     """Keys of the customers whose e-mail hashes like a given clear value."""
     vault = _pipe(spark, sf_dir).run(2).ref("int_pii_vault_customers")
@@ -294,6 +323,10 @@ def build_queries() -> dict[str, Query]:
     q["vault_lookup_sk"] = vault_lookup_sk
     q["vault_lookup_id"] = vault_lookup_id
     q["vault_lookup_hash"] = vault_lookup_hash
+    q["vault_lookup_customer_id"] = vault_lookup_customer_id
+    q["vault_lookup_employee_sk"] = vault_lookup_employee_sk
+    q["vault_lookup_employee_hash"] = vault_lookup_employee_hash
+    q["landing_rows_affected"] = landing_rows_affected
     q["vault_cross_verify"] = vault_cross_verify
     q["audit_load_summary"] = audit_load_summary
     q["audit_batches"] = audit_batches
