@@ -27,3 +27,23 @@ def test_two_runs_publish_and_preserve_unchanged_rows(spark, scratch):
     assert cust.exceptAll(expected.select(*cust.columns)).count() == 0
     stamps = {r._dbt_loaded_at for r in cust.select("_dbt_loaded_at").distinct().collect()}
     assert stamps == {RUN_TS[1], RUN_TS[2]}  # unchanged rows keep the first run's stamp
+
+
+def test_full_refresh_rebuilds_and_incremental_keeps(spark, scratch):
+    from datetime import datetime
+    from lakeward.operators.landing import LoadStamp
+
+    store = SnapshotStore(spark, scratch)
+    src = spark.createDataFrame([(1, "Sales", "Ops"), (2, "HR", "Admin")],
+                                "department_id short, name string, group_name string")
+    spec = ENTITIES["departments"]
+    store.write("raw_departments", landing_reload(src, spec, LoadStamp("b1", datetime(2024, 1, 1))))
+    raw = lambda e: store.current(f"raw_{e}")
+    t1, t2, t3 = datetime(2024, 1, 1, 1), datetime(2024, 1, 2, 1), datetime(2024, 1, 3, 1)
+    assert run_project(store, raw, t1, select=["az_departments"]) == {"az_departments": 0}
+    run_project(store, raw, t2, select=["az_departments"])            # incremental: nothing changed
+    assert {r._dbt_loaded_at for r in store.current("az_departments").collect()} == {t1}
+    run_project(store, raw, t3, select=["az_departments"], full_refresh=True)
+    out = store.current("az_departments").collect()
+    assert {r._dbt_loaded_at for r in out} == {t3} and len(out) == 2
+    assert store.version("az_departments") == 2
