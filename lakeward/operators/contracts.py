@@ -117,10 +117,10 @@ def _scan_metric(t: ContractTest) -> Column:
 
 
 def scan_failures(df: DataFrame, tests: Sequence[ContractTest]) -> list[Column]:
-    """Failure counts of not-null / accepted-value tests, one aggregate pass.
+    """Aggregate columns ``m0, m1, ...`` with each test's failure count.
 
-    Returns one ``struct(index, failures)`` column per test over a single
-    ``agg`` of ``df``; callers explode them into rows.
+    Meant for a single ``df.agg(...)`` pass over the table (not-null,
+    accepted-value and expression tests); the caller turns them into rows.
     """
     return [_scan_metric(t).alias(f"m{i}") for i, t in enumerate(tests)]
 

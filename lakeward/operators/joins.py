@@ -12,10 +12,10 @@ DEFAULT_BROADCAST_ROWS = 100_000
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows of ``df`` (``limit`` stops
-    the scan early), so it is cheap for the small dimension tables it is
-    meant for and bounded for large ones, which are then left to the
-    shuffle join (and to AQE's runtime re-planning).
+    The check counts ``df.limit(max_rows + 1)``: every input partition stops
+    after ``max_rows + 1`` rows, so it is cheap for the small dimension
+    tables it is meant for and bounded per partition for large ones, which
+    are then left to the shuffle join (and to AQE's runtime re-planning).
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -38,8 +38,9 @@ def guard_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> Da
 
     No extra pass: the guard is a ``row_number`` over ``partitionBy(keys)``,
     whose hash exchange and sort are exactly what a following sort-merge
-    join on ``keys`` needs, so Spark reuses them.  The job fails at the
-    second row of a duplicated key (a hot key is not buffered first).
+    join on ``keys`` needs, so Spark reuses them.  The job fails when a
+    duplicated key's group is evaluated (Spark's window operator buffers
+    that group, spilling to disk if it is large).
     """
     keys = list(keys)
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))

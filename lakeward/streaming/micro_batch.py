@@ -8,8 +8,8 @@ as rows flagged ``_is_deleted``.  Rows of one key inside a batch are
 reduced to the newest before the merge.
 
 Exactly-once: the batch id is recorded with each committed version, and a
-replayed batch (after a driver restart) whose id is already committed is
-skipped.
+replayed batch whose id is the last committed one is skipped (Structured
+Streaming only ever replays its most recent batch after a restart).
 """
 
 from __future__ import annotations
