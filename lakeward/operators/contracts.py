@@ -14,11 +14,13 @@ Five test kinds, with the failure counts of the generic tests they mirror:
 Each test has a severity (``error`` by default, or ``warn``); the status
 is ``pass`` without failures, else ``warn`` or ``fail`` by severity.
 
-Cost per table: **one** aggregate pass for all of its not-null and
-accepted-value tests, one aggregation per unique/combination test and, per
-relationship, a pre-aggregated child side (one row per distinct value, so a
-hot foreign key is collapsed map-side) anti-joined to the distinct parent
-keys.  Nothing is collected to the driver.
+Cost per table: **one** aggregate pass for all of its not-null,
+accepted-value and expression tests, **one** grouping-sets aggregation for
+all of its unique/combination tests (map-side partial counts collapse a hot
+key before the shuffle) and, per relationship, a pre-aggregated child side
+(one row per distinct value, so a hot foreign key is collapsed map-side)
+anti-joined to the distinct parent keys.  Nothing is collected to the
+driver.
 """
 
 from __future__ import annotations
@@ -134,6 +136,30 @@ def duplicate_groups(df: DataFrame, columns: Sequence[str], skip_nulls: bool) ->
     return groups.agg(F.count(F.lit(1)).alias("failures"))
 
 
+def duplicate_group_counts(df: DataFrame, sets: Sequence[tuple[tuple[str, ...], bool]]) -> DataFrame:
+    """Duplicated-value counts for several key sets of one table in one pass.
+
+    ``sets`` holds ``(columns, skip_nulls)`` pairs.  One ``groupingSets``
+    aggregation counts rows per value of every set (a single scan and a
+    single shuffle, with map-side partial counts), then a global aggregate
+    counts the values occurring more than once per set.  Returns one row
+    with columns ``d0, d1, ...``.
+    """
+    cols: list[str] = []
+    for columns, _ in sets:
+        cols += [c for c in columns if c not in cols]
+    grouped = df.groupingSets([list(c) for c, _ in sets], *cols).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
+    metrics = []
+    for i, (columns, skip_nulls) in enumerate(sets):
+        gid = sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in columns)
+        cond = (F.col("__gid") == gid) & (F.col("__n") > 1)
+        if skip_nulls:
+            cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], cond)
+        metrics.append(F.count(F.when(cond, F.lit(1))).alias(f"d{i}"))
+    return grouped.agg(*metrics)
+
+
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-NULL child rows whose value is absent from ``parent.field``."""
     counts = (child.where(F.col(column).isNotNull())
@@ -178,16 +204,16 @@ def run_contracts(
                 F.struct(*_result(t, F.col(f"m{i}"))) for i, t in enumerate(scanned)
             ]
             parts.append(agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+        keyed = [t for t in model_tests if t.test in (UNIQUE, UNIQUE_COMBO)]
+        if keyed:
+            sets = [(t.columns, t.test == UNIQUE) for t in keyed]
+            counts = duplicate_group_counts(df, sets)
+            rows = [F.struct(*_result(t, F.col(f"d{i}"))) for i, t in enumerate(keyed)]
+            parts.append(counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
         for t in model_tests:
-            if t.test == UNIQUE:
-                res = duplicate_groups(df, t.columns, skip_nulls=True)
-            elif t.test == UNIQUE_COMBO:
-                res = duplicate_groups(df, t.columns, skip_nulls=False)
-            elif t.test == RELATIONSHIPS:
+            if t.test == RELATIONSHIPS:
                 res = orphan_rows(df, t.columns[0], tables[t.to], t.field)
-            else:
-                continue
-            parts.append(res.select(*_result(t, F.col("failures"))))
+                parts.append(res.select(*_result(t, F.col("failures"))))
     if not parts:
         raise ValueError("no tests to run")
     out = union_all(parts)
