@@ -61,7 +61,7 @@ def main() -> None:
         "int_customers (two latest-row dedupes + left join)": run.ref("int_customers"),
         "int_orders (headers x customer keys, then x lines)": run.ref("int_orders"),
         "stg_crm__customers (soft-delete filter pushed to Parquet)": run.ref("stg_crm__customers"),
-        "contracts of az_customers (one scan aggregate + one count per unique test)": run_contracts(
+        "contracts of az_customers (one scan aggregate + one grouping-sets pass for its unique tests)": run_contracts(
             {"az_customers": store.current("az_customers")},
             [t for t in declared_tests() if t.model == "az_customers"]),
     }
