@@ -94,3 +94,17 @@ def test_address_links_only_count_customers(spark):
     ops["country_region"] = spark.createDataFrame([("EU", "EUROPE")], "CountryRegionCode string, Name string")
     out = landing_reload(addresses_extract(ops), ADDRESSES, D1).collect()
     assert [(r.address_id, r.customer_id, r.country_region) for r in out] == [(10, 1, "EUROPE")]
+
+
+def test_append_layout_loads_accumulate(spark, scratch):
+    from datetime import date
+    from lakeward.operators.landing import append_stamp
+
+    src = spark.createDataFrame([(1, 100), (2, 200)], "sales_order_id int, total_due int")
+    path = f"{scratch}/raw_erp/order_headers"
+    append_stamp(src, "ERP", datetime(2024, 1, 1, 6)).write.mode("append").parquet(path)
+    append_stamp(src, "ERP", datetime(2024, 1, 2, 6)).write.mode("append").parquet(path)
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 4
+    assert {(r._load_dt, r._source_system, r._is_active) for r in rows} == {
+        (date(2024, 1, 1), "ERP", True), (date(2024, 1, 2), "ERP", True)}
