@@ -19,7 +19,7 @@ one set of lazy plans that Catalyst optimises end to end.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -56,6 +56,10 @@ class ModelInfo:
     pii_fields: tuple[str, ...] = ()   # clear-text personal columns it holds
     pii_free: bool = True
     build: Callable | None = None
+    access: str | None = None          # internal | restricted
+    contract_status: str | None = None
+    pii_vault: str | bool | None = None  # vault holding its clear values, or True for a vault
+    never_export: bool = False
 
 
 MODELS: dict[str, ModelInfo] = {}
@@ -363,6 +367,25 @@ def az_orders(run: Run) -> DataFrame:
     )
 
 
+# Fixed model metadata as declared for the project.
+_META = {
+    "int_customers": {"access": "internal"},
+    "int_employees": {"access": "internal"},
+    "int_pii_vault_customers": {"access": "restricted", "pii_vault": True, "never_export": True},
+    "int_pii_vault_employees": {"access": "restricted", "pii_vault": True, "never_export": True},
+    "az_customers": {"contract_status": "visado", "pii_vault": "int_pii_vault_customers"},
+    "az_addresses": {"contract_status": "visado"},
+    "az_order_headers": {"contract_status": "visado"},
+    "az_order_details": {"contract_status": "visado"},
+    "az_products": {"contract_status": "visado"},
+    "az_employees": {"contract_status": "visado", "pii_vault": "int_pii_vault_employees"},
+    "az_departments": {"contract_status": "visado"},
+    "az_orders": {"contract_status": "visado"},
+}
+for _name, _fields in _META.items():
+    MODELS[_name] = replace(MODELS[_name], **_fields)
+
+
 def topological_order(names=None) -> list[str]:
     """Model names with every dependency before its dependants."""
     names = list(MODELS) if names is None else list(names)

@@ -84,6 +84,8 @@ def run_project(
     pii = pii_columns(MODELS)
     for name in names:
         info = MODELS[name]
+        if info.never_export:
+            raise ValueError(f"{name} is declared never_export and cannot be published")
         if info.materialized == "view":
             continue
         df = run.ref(name)

@@ -72,3 +72,15 @@ def test_leak_check(spark):
     ok = spark.createDataFrame([(1, "h")], "customer_id int, email_address_hash string")
     bad = spark.createDataFrame([(1, "x@y")], "customer_id int, email_address string")
     assert leak_check({"ok": ok, "bad": bad}, pii) == [("bad", "email_address")]
+
+
+def test_model_metadata_and_never_export(spark, scratch):
+    from lakeward.plans.runner import run_project
+    assert MODELS["az_customers"].pii_vault == "int_pii_vault_customers"
+    assert MODELS["az_orders"].contract_status == "visado" and MODELS["az_orders"].pii_free
+    vault = MODELS["int_pii_vault_employees"]
+    assert vault.access == "restricted" and vault.never_export and "local_only" in vault.tags
+    store = SnapshotStore(spark, scratch)
+    with pytest.raises(ValueError, match="never_export"):
+        run_project(store, lambda e: None, datetime(2024, 1, 1), select=["int_pii_vault_customers"],
+                    exclude_tags=())
