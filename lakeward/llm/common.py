@@ -46,3 +46,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_or_empty(col: Column | str) -> Column:
     """Text with NULL as the empty string."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, once: bool = False) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id and text's SHA-256 are in ``chosen`` (doc_id, sha).
+
+    NULL ids match NULL ids.  ``once``: of rows that repeat id and text one is left.
+    """
+    key = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("-"))
+    mine = docs.withColumns({"__key": key(id_col), "__sha": F.sha2(text_or_empty(text_col), 256)})
+    theirs = chosen.select(key("doc_id").alias("__key"), F.col("sha").alias("__sha"))
+    out = mine.join(theirs, ["__key", "__sha"], "left_semi")
+    if once:  # on the join's own partitioning
+        out = out.dropDuplicates(["__key", "__sha"])
+    return out.drop("__key", "__sha")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import stage, text_or_empty
+from lakeward.llm.common import rows_of, stage, text_or_empty
 
 #: Two primes below 2^48: sums of up to 2^15 shifted chunk hashes fit a long.
 PRIMES = (217747151580923, 272627090574743)
@@ -44,9 +44,9 @@ def normalised(text: Column) -> Column:
 
 
 def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = normalised(text_or_empty(text_col))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t")).select(
-        "doc_id", F.sha2("t", 256).alias("sha"), F.col("t").cast("binary").alias("body")
+    raw = text_or_empty(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), normalised(raw).alias("t"), F.sha2(raw, 256).alias("raw")).select(
+        "doc_id", "raw", F.sha2("t", 256).alias("sha"), F.col("t").cast("binary").alias("body")
     )
 
 
@@ -73,25 +73,26 @@ def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     primes: tuple[int, int] = PRIMES, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """One row per row of ``docs``: row, doc_id, sha, n_bytes, f0, f1."""
+    """One row per row of ``docs``: row, doc_id, raw and sha (of the text as it stands and normalised), n_bytes, f0, f1."""
     bodies = _bodies(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()).withColumn(
         "n_bytes", F.length("body").cast("long")
     )
     after = F.greatest(F.lit(0).cast("long"), F.col("n_bytes") - (F.col("no") + 1) * F.lit(chunk_bytes))
-    chunks = _with_chunks(bodies, chunk_bytes).select("row", "doc_id", "sha", "n_bytes", after.alias("after"), "chunk")
+    chunks = _with_chunks(bodies, chunk_bytes).select("row", "doc_id", "raw", "sha", "n_bytes", after.alias("after"), "chunk")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pairs = [chunk_hash(c, a, primes) for c, a in zip(pdf["chunk"], pdf["after"].tolist())]
-            out = pdf[["row", "doc_id", "sha", "n_bytes"]].copy()
+            out = pdf[["row", "doc_id", "raw", "sha", "n_bytes"]].copy()
             out["doc_id"] = out["doc_id"].astype("Int64")
             out["h0"] = [x[0] for x in pairs]
             out["h1"] = [x[1] for x in pairs]
             yield out
 
-    hashes = chunks.mapInPandas(hashed, "row long, doc_id long, sha string, n_bytes long, h0 long, h1 long")
+    hashes = chunks.mapInPandas(hashed, "row long, doc_id long, raw string, sha string, n_bytes long, h0 long, h1 long")
     return hashes.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
+        F.first("raw").alias("raw"),
         F.first("sha").alias("sha"),
         F.first("n_bytes").alias("n_bytes"),
         (F.sum("h0") % primes[0]).alias("f0"),
@@ -123,7 +124,7 @@ def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     primes: tuple[int, int] = PRIMES, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, n_bytes.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, n_bytes, raw_sha256.
 
     Groups are texts equal after white-space normalisation; the smallest
     doc_id of a group stays.  Group statistics are summed map-side and written
@@ -161,6 +162,7 @@ def exact_duplicates(
         (F.col("row") == F.col("rep.row")).alias("kept"),
         F.col("sha").alias("text_sha256"),
         "n_bytes",
+        F.col("raw").alias("raw_sha256"),
     )
 
 
@@ -169,10 +171,5 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows repeating a kept row's id and text are reduced to one.
     """
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha")
-    )
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id"))
-    sha = F.sha2(normalised(text_or_empty(text_col)), 256)
-    found = docs.join(kept, same & (sha == F.col("__kept_sha")), "left_semi")
-    return found.dropDuplicates([id_col, text_col])
+    kept = exact_duplicates(docs, id_col, text_col).where("kept").select("doc_id", F.col("raw_sha256").alias("sha"))
+    return rows_of(docs, kept, id_col, text_col, once=True)

@@ -12,9 +12,9 @@ A leaf whose budget holds more than all its tokens repeats them for whole
 epochs; the rest is a prefix, by tokens, of the next epoch's seeded order.
 A document belongs to the prefix if it ends within the rest.
 
-Prefix sums are made in two levels, by the leading hex digits of the order
-key and then within them, so a leaf with a third of all rows is spread over
-all tasks.  All budgets are integers; shares round down.
+Prefix sums are made by levels of the order key's leading hex digits: over 256
+bins of a leaf, over the 256 bins of each of these, and then over rows, so a
+leaf with a third of all rows is spread over all tasks.  All budgets are integers; shares round down.
 
 Defined results: NULL levels are a value of their own; NULL text counts as
 empty and has no tokens (such documents belong to every prefix that reaches
@@ -35,7 +35,8 @@ from lakeward.llm.common import stage, text_or_empty
 
 MAX_EPOCHS = 4
 SEED = 7
-PREFIX_DIGITS = 3
+#: Leading hex digits of the order key at which prefix sums are made, coarse to fine.
+PREFIX_DIGITS = (2, 4)
 
 
 def n_tokens(text: Column) -> Column:
@@ -73,7 +74,7 @@ def share(children: DataFrame, parent: Sequence[str]) -> DataFrame:
     first = F.min(F.when(~F.col("fills"), F.struct("at", "used", "open"))).over(Window.partitionBy(*parent))
     df = df.withColumn("at", F.row_number().over(order)).withColumn("level", first)
     rest = F.greatest(F.lit(0), F.col("given") - F.col("level.used"))
-    part = F.floor(_wide(rest) * _wide("weight") / _wide("level.open")).cast("long")
+    part = F.call_function("div", _wide(rest) * _wide("weight"), _wide("level.open")).cast("long")
     budget = F.when(F.col("level").isNull() | (F.col("at") < F.col("level.at")), F.col("supply")).otherwise(
         F.least(F.col("supply"), part))
     return df.withColumn("budget", budget).drop("used", "open", "fills", "at", "level")
@@ -105,6 +106,22 @@ def leaf_budgets(
     return given.select(*levels, "node", "tokens", "budget")
 
 
+def _tokens_before(rows: DataFrame, bins: Sequence[str]) -> DataFrame:
+    """node, ``bins``, before: a leaf's tokens in all bins before each of its finest bins."""
+    out, above = None, ["node"]
+    for name in bins:
+        keys = [*above, name]
+        sums = rows.groupBy(*keys).agg(F.sum("tokens").alias("in_bin"))
+        earlier = Window.partitionBy(*above).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        here = sums.select(*keys, F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)).alias("here"))
+        if out is None:
+            out = here.withColumnRenamed("here", "before")
+        else:
+            out = here.join(out, above).select(*keys, (F.col("before") + F.col("here")).alias("before"))
+        above = keys
+    return out
+
+
 def mix(
     docs: DataFrame, levels: Sequence[str], fraction: float, weights: Mapping[str, Mapping[str, int]] | None = None,
     default_weight: int = 1, max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
@@ -133,14 +150,30 @@ def mix(
         "rest", F.coalesce("rest", F.lit(0))
     )
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce("doc_id", F.lit(0)).cast("string")))
-    rows = stage(rows.withColumn("place", key).withColumn("bin", F.substring("place", 1, PREFIX_DIGITS)), "places")
-    bins = rows.groupBy("node", "bin").agg(F.sum("tokens").alias("in_bin"))
-    earlier = Window.partitionBy("node").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select("node", "bin", F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("node", "bin").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = rows.withColumn("within", F.sum("tokens").over(within)).join(bins, ["node", "bin"])
+    rows = rows.withColumn("place", key)
+    bins = [f"bin{d}" for d in PREFIX_DIGITS]
+    for d in PREFIX_DIGITS:
+        rows = rows.withColumn(f"bin{d}", F.substring("place", 1, d))
+    rows = stage(rows, "places")
+    before = _tokens_before(rows, bins)
+    within = Window.partitionBy("node", *bins).orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = rows.withColumn("within", F.sum("tokens").over(within)).join(before, ["node", *bins])
     chosen = (F.col("before") + F.col("within") <= F.col("rest")) & (F.col("rest") > 0)
     return ends.select(
         "doc_id", *levels, "tokens", F.coalesce("budget", F.lit(0)).alias("budget"),
         (F.col("full") + chosen.cast("long")).cast("long").alias("epochs"),
     )
+
+
+def select_mixture(
+    docs: DataFrame, levels: Sequence[str], fraction: float, weights: Mapping[str, Mapping[str, int]] | None = None,
+    id_col: str = "doc_id", text_col: str = "text", **options,
+) -> DataFrame:
+    """The rows of ``docs`` that enter the mixture, each once, with all their columns."""
+    chosen = mix(docs, levels, fraction, weights, id_col=id_col, text_col=text_col, **options).where("epochs > 0")
+    node = F.to_json(F.struct(*levels), {"ignoreNullFields": "false"})
+    key = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("-"))
+    # rows with the same id and leaf have the same place in its order, so they share the decision
+    theirs = chosen.select(key("doc_id").alias("__key"), node.alias("__node"))
+    mine = docs.withColumns({"__key": key(id_col), "__node": node})
+    return mine.join(theirs, ["__key", "__node"], "left_semi").drop("__key", "__node")
