@@ -12,9 +12,9 @@ BLANKS = "[\\x20\\x09-\\x0D]+"
 
 def exact_dedup_sql() -> str:
     return f"""
-WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{BLANKS}', ' ', 'g') AS t FROM documents)
+WITH n AS (SELECT doc_id, sha256(coalesce(text, '')) AS raw_sha256, regexp_replace(coalesce(text, ''), '{BLANKS}', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
-       sha256(t) AS text_sha256, CAST(octet_length(encode(t)) AS BIGINT) AS n_bytes
+       sha256(t) AS text_sha256, CAST(octet_length(encode(t)) AS BIGINT) AS n_bytes, raw_sha256
 FROM n WINDOW w AS (PARTITION BY t)
 """
 
