@@ -17,12 +17,14 @@ components, so a signature costs about as many points as the text has
 shingles, not that many times the signature's length.
 
 Texts with equal words are one class from the start.  Signatures are cut into
-bands; texts that agree in a band share a bucket.  Each bucket's leader (first
-in a hashed order) is compared with the others, by the multisets themselves;
-connected components follow.  Then, as long as links appear, every bucket that
-still holds several components has the leader of each of them compared with
-the members of the others.  No group emits all its pairs, and no bucket is
-capped.
+bands; texts that agree in a band share a bucket.  In each round, every bucket
+has a few heads (the first of its texts in hashed orders that change with the
+round), and every member is a candidate for the heads that are not yet in its
+component.  Of the candidates in one other component a text is compared with the one
+whose signature agrees most, by the multisets themselves; components are joined
+by the links, and rounds go on until one finds no link.  So a round's work grows
+with the members of the buckets, never with their squares, and no bucket is
+capped: a group of any size becomes one component by way of its heads.
 
 Defined results: words are runs of letters and digits, in lower case; a text
 of fewer words than a shingle has one shingle of all its words; NULL text counts as empty,
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -50,6 +53,9 @@ BANDS, ROWS = 24, 5
 #: Pairs whose signatures agree in fewer components are not compared: with a
 #: similarity of 0.8 that happens once in about 10^8 pairs (six standard deviations).
 SLACK_SD = 6.0
+#: Heads of a bucket in a round, and rounds at least.
+HEADS = 3
+MIN_ROUNDS = 2
 #: Shingles whose points are drawn at once in a task.
 AT_ONCE = 300_000
 
@@ -149,15 +155,28 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
         signed, "row long, doc_id long, sha string, same binary, bands array<long>, sig array<short>, words string")
 
 
-def _linked(pairs: DataFrame, signed: DataFrame, size: int, threshold: float, width: int) -> DataFrame:
-    """The pairs (a, b) whose multisets are similar enough."""
-    least = threshold * size - SLACK_SD * (size * threshold * (1 - threshold)) ** 0.5
-    sig = signed.select("row", "sig")
-    near = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = stage(near.where(agree >= least).select("a", "b"), "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    texts = stage(signed.select("row", "words").join(wanted, "row"), "texts")
+def _candidates(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, round_no: int, least: float) -> DataFrame:
+    """a, b, label_a, label_b: each text with the head of another component whose signature agrees most."""
+    owned = stage(buckets.join(labels, "row"), f"owned-{round_no}")
+    first = lambda k: F.min(F.struct(
+        F.xxhash64("row", F.lit(round_no), F.lit(k)).alias("h"), F.col("row").alias("head"), F.col("label").alias("head_label")))
+    heads = owned.groupBy("band", "value").agg(
+        F.array_distinct(F.array(*[first(k) for k in range(HEADS)])).alias("heads"),
+        F.min("label").alias("low"), F.max("label").alias("high"),
+    ).where("low != high").select("band", "value", F.transform(
+        "heads", lambda h: F.struct(h["head"].alias("head"), h["head_label"].alias("head_label"))).alias("heads"))
+    heads = stage(heads, f"heads-{round_no}")
+    met = owned.join(heads, ["band", "value"]).select("row", "label", F.inline("heads")).where("label != head_label")
+    pairs = stage(met.distinct(), f"pairs-{round_no}")
+    near = pairs.join(sigs.toDF("row", "sig"), "row").join(sigs.toDF("head", "head_sig"), "head")
+    agree = F.aggregate(F.zip_with("sig", "head_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    near = near.select("row", "label", "head", "head_label", agree.alias("agree")).where(F.col("agree") >= least)
+    best = near.groupBy("row", "label", "head_label").agg(F.max(F.struct("agree", "head")).alias("best"))
+    return best.select(F.col("row").alias("a"), F.col("best.head").alias("b"), "label", "head_label")
+
+
+def _linked(near: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Of the pairs (a, b, label, head_label) those whose multisets are similar enough."""
     both = near.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,9 +194,10 @@ def _linked(pairs: DataFrame, signed: DataFrame, size: int, threshold: float, wi
                 similarity(bag(a, x), bag(b, y)) >= threshold
                 for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["words_a"], pdf["words_b"])
             ]
-            yield pdf.loc[keep, ["a", "b"]]
+            yield pdf.loc[keep, ["a", "b", "label", "head_label"]]
 
-    return both.select("a", "b", "words_a", "words_b").mapInPandas(verified, "a long, b long")
+    return both.select("a", "b", "label", "head_label", "words_a", "words_b").mapInPandas(
+        verified, "a long, b long, label long, head_label long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -215,45 +235,40 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the class), class_size, kept, n_links, raw_sha256.
 
-    ``n_links`` counts the verified links of the document's text to different
-    texts; equal texts share it.
+    ``n_links`` counts the verified links that joined the document's text to
+    different texts; equal texts share it.
     """
     signed = stage(_signed(docs, id_col, text_col, bands, rows, width), "signed")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     equal = stage(signed.groupBy("same").agg(F.min(place).alias("rep")).select("same", F.col("rep.row").alias("rep")), "equal")
-    reps = stage(signed.join(equal.select(F.col("rep").alias("row")), "row").select("row", "bands", "sig", "words"), "reps")
-    buckets = stage(
-        reps.select("row", F.posexplode("bands").alias("band", "value")).select("band", "value", "row"), "buckets")
-    order = F.struct(F.xxhash64("row").alias("h"), "row")
-    lead = buckets.groupBy("band", "value").agg(F.min(order).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    lead = stage(lead.select("band", "value", F.col("l.row").alias("lead")), "leaders")
-    # buckets of one text play no further part
-    buckets = stage(buckets.join(lead, ["band", "value"]), "shared")
-    pairs = stage(
-        buckets.where("row != lead").select(F.col("row").alias("a"), F.col("lead").alias("b")).distinct(), "pairs")
-    links = stage(_linked(pairs, reps, bands * rows, threshold, width), "links")
-    tested = pairs
+    rep_rows = equal.select(F.col("rep").alias("row"))
+    # joined before the bands become rows
+    banded = signed.select("row", "bands").join(rep_rows, "row").select("row", F.posexplode("bands").alias("band", "value"))
+    buckets = stage(banded, "banded")
+    shared = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # buckets of one text play no further part; what is looked up grows with the corpus, so it is never broadcast
+    buckets = stage(buckets.join(stage(shared, "shared").hint("merge"), ["band", "value"]), "buckets")
+    some = stage(buckets.select("row").distinct(), "some")
+    sigs = stage(signed.select("row", "sig").join(some.hint("merge"), "row"), "sigs")
+    texts = stage(signed.select("row", "words").join(some.hint("merge"), "row"), "texts")
+    size = bands * rows
+    least = threshold * size - SLACK_SD * (size * threshold * (1 - threshold)) ** 0.5
+    labels = some.select("row", F.col("row").alias("label"))
+    found: list[DataFrame] = []
     while True:
-        labels = stage(components(links), "labels")
-        owned = buckets.join(labels, F.col("row") == F.col("node"), "left").select(
-            "band", "value", "row", F.coalesce("label", "row").alias("label"))
-        owned = stage(owned, "owned")
-        heads = owned.groupBy("band", "value", "label").agg(F.min(order).alias("l")).select(
-            "band", "value", "label", F.col("l.row").alias("lead"))
-        heads = stage(heads, "heads")
-        several = heads.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        heads = stage(heads.join(several, ["band", "value"]), "several")
-        across = owned.join(heads.withColumnRenamed("label", "other"), ["band", "value"]).where("label != other")
-        pairs = across.select(F.col("row").alias("a"), F.col("lead").alias("b")).distinct()
-        known = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        pairs = stage(pairs.join(known, ["a", "b"], "left_anti"), "across")
-        found = stage(_linked(pairs, reps, bands * rows, threshold, width), "found")
-        if found.isEmpty():
-            break
-        links, tested = stage(links.union(found), "links"), stage(tested.union(pairs), "tested")
+        near = stage(_candidates(buckets, labels, sigs, len(found), least), "near")
+        new = stage(_linked(near, texts, threshold, width), "links")
+        found.append(new)
+        if new.isEmpty():
+            if len(found) >= MIN_ROUNDS:
+                break
+            continue
+        merged = components(new.select(F.col("label").alias("a"), F.col("head_label").alias("b")))
+        joined = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+        labels = stage(joined.select("row", F.coalesce("to", "label").alias("label")), "labels")
+    links = reduce(DataFrame.union, found)
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    of_rep = equal.join(labels, F.col("rep") == F.col("node"), "left").join(ends, "rep", "left").select(
+    of_rep = equal.join(labels.withColumnRenamed("row", "node"), F.col("rep") == F.col("node"), "left").join(ends, "rep", "left").select(
         "same", F.coalesce("label", "rep").alias("label"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     members = stage(signed.select("row", "doc_id", "sha", "same").join(stage(of_rep, "of_rep"), "same"), "members")
     classes = stage(members.groupBy("label").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("class_size")), "classes")
