@@ -7,8 +7,8 @@ learning rate falls with n, and a weight is zero while |z| is within the L1
 bound, so the weights are few and small enough to broadcast.
 
 Training is distributed: the labelled rows are dealt into shards, each shard
-runs FTRL over its rows from the common state, and after each epoch Spark
-averages the shards' changes per coordinate.  The state has ``2 ** bits``
+runs FTRL over its rows from the common state, and after each epoch the
+shards' changes are averaged per coordinate.  The state has ``2 ** bits``
 coordinates however much data there is.
 
 The labelled sample is bounded by ``max_rows`` (a documented parameter; rows
@@ -35,12 +35,10 @@ from pyspark.sql import functions as F
 from lakeward.llm.common import stage, text_or_empty
 from lakeward.llm.words import hashes, mixed, words
 
-BITS = 20
+BITS = 19
 MAX_ROWS = 16_000
 SHARDS = 4
 EPOCHS = 6
-#: Coordinates that travel in one row when shards are added up.
-PART = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -106,26 +104,21 @@ def held_out(id_col: str) -> Column:
 def _epoch(state, epoch: int, params: Ftrl):
     """A shard's changes to the common state by one pass over its rows, in an order of the epoch's own."""
 
-    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        z0, n0 = state.value
+    def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [p for p in batches if len(p)]
+        if not parts:
+            return
+        rows = pd.concat(parts, ignore_index=True)  # a part of the bounded sample
+        z0, n0 = (x.astype(np.float64) for x in state.value)
         z1, n1 = z0.copy(), n0.copy()
-        order = pdf["doc_id"].map(lambda i: zlib.crc32(f"{epoch}:{i}".encode())).to_numpy()
-        for i in np.lexsort((pdf["doc_id"].to_numpy(), order)):
-            learn(z1, n1, pdf["idx"].iat[i], int(pdf["label"].iat[i]), params)
-        deltas = [(x1 - x0).astype(np.float32).reshape(-1, min(PART, len(z0))) for x1, x0 in ((z1, z0), (n1, n0))]
-        return pd.DataFrame({
-            "shard": int(pdf["shard"].iat[0]), "part": range(len(deltas[0])), "dz": [x.tobytes() for x in deltas[0]], "dn": [x.tobytes() for x in deltas[1]],
-        })
+        order = rows["doc_id"].map(lambda i: zlib.crc32(f"{epoch}:{i}".encode())).to_numpy()
+        for i in np.lexsort((rows["doc_id"].to_numpy(), order)):
+            learn(z1, n1, rows["idx"].iat[i], int(rows["label"].iat[i]), params)
+        yield pd.DataFrame({"dz": [(z1 - z0).astype(np.float32).tobytes()], "dn": [(n1 - n0).astype(np.float32).tobytes()]})
 
     return shard
 
 
-def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The shards' changes to one part of the coordinates, added up (as many rows as shards)."""
-    total = lambda col: np.sum([np.frombuffer(x, np.float32) for x in pdf.sort_values("shard")[col]], axis=0, dtype=np.float64)
-    return pd.DataFrame({"part": pdf["part"].iloc[:1], "dz": [total("dz").tobytes()], "dn": [total("dn").tobytes()]})
-
-
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     max_rows: int = MAX_ROWS, shards: int = SHARDS, epochs: int = EPOCHS, bits: int = BITS, params: Ftrl = Ftrl(),
@@ -143,23 +136,19 @@ def train(
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "idx": pd.Series(idx, dtype=object)})
 
     rows = texts.join(F.broadcast(sample), "doc_id").mapInPandas(featured, "doc_id long, label int, idx array<int>")
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards)).cast("int"))
-    rows = stage(rows, "sample")
+    # dealt by a hash and written once; each epoch's tasks then read their shards where they lie
+    rows = stage(rows.repartition(shards, F.xxhash64("doc_id", F.lit(1))), "sample").coalesce(shards)
     sc = docs.sparkSession.sparkContext
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     for epoch in range(epochs):
-        state = sc.broadcast((z, n))
-
-        changes = rows.groupBy("shard").applyInPandas(
-            _epoch(state, epoch, params), "shard int, part int, dz binary, dn binary")
-        # 2^bits coordinates in all, whatever the input
-        got = changes.groupBy("part").applyInPandas(_summed, "part int, dz binary, dn binary").collect()
-        z, n = z.copy(), n.copy()
+        state = sc.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        # at most ``shards`` rows of 2^bits coordinates, whatever the input
+        got = rows.mapInPandas(_epoch(state, epoch, params), "dz binary, dn binary").collect()
         for r in got:
-            here = slice(r["part"] * PART, (r["part"] + 1) * PART)
-            z[here] += np.frombuffer(r["dz"]) / shards
-            n[here] += np.frombuffer(r["dn"]) / shards
-        state.unpersist()
+            z += np.frombuffer(r["dz"], np.float32) / len(got)
+            n += np.frombuffer(r["dn"], np.float32) / len(got)
+        del got
+        state.destroy()
     w = weights_of(z, n, params)
     idx = np.flatnonzero(w)
     return Model(idx, w[idx], bits)
