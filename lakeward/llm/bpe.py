@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import text_or_empty
+from lakeward.llm.common import stage, text_or_empty
 
 LEXICON_WORDS = 32_768
 #: Word pieces between blanks that a worker remembers, and words that a task counts before it passes them on.
@@ -258,10 +258,10 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS, text_col: str = "text") -> list[str]:
-    """The corpus' ``n`` most frequent words (ties by code points), counted over all whole texts.
+    """At most ``n`` words of the corpus: those of the highest classes of frequency, counted over all whole texts.
 
     Tasks count and pass on partial sums, Spark adds them up; the driver gets
-    the top list only.
+    a histogram of the counts and the chosen words only.
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -283,8 +283,18 @@ def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS, text_col: str = "tex
         yield sums()
 
     parts = docs.select(text_or_empty(text_col).alias("text")).mapInPandas(counted, "word string, n long")
-    top = parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(n)
-    return [r["word"] for r in top.select("word").collect()]
+    counts = stage(parts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # a histogram of the counts, 16 classes for each doubling, says from which class on at most n words are left
+    size = F.floor(F.log2("n") * 16).cast("int").alias("size")
+    classes = sorted(counts.groupBy(size).count().collect(), reverse=True)
+    least, taken = None, 0
+    for r in classes:
+        if taken + r["count"] > n:
+            break
+        least, taken = r["size"], taken + r["count"]
+    if least is None:
+        return []
+    return [r["word"] for r in counts.where(size >= least).select("word").collect()]
 
 
 def build_lexicon(vocabulary: Vocabulary, words: Iterable[str]) -> bytes:
