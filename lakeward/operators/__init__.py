@@ -23,7 +23,7 @@ from lakeward.operators.contracts import (
 )
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness, freshness
-from lakeward.operators.joins import broadcast_if_small, left_join_split_nulls
+from lakeward.operators.joins import left_join_split_nulls
 from lakeward.operators.keys import DuplicateKeyError, assert_unique_keys, guard_unique
 from lakeward.operators.landing import (
     LoadStamp,
@@ -40,7 +40,7 @@ from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
 
 __all__ = [
     "DuplicateKeyError", "LoadStamp", "SnapshotStore", "accepted_values", "append_stamp", "apply_changes",
-    "apply_changes_stepwise", "assert_unique_keys", "batch_audit", "broadcast_if_small", "change_counts",
+    "apply_changes_stepwise", "assert_unique_keys", "batch_audit", "change_counts",
     "check_freshness", "classify_changes", "cross_verify", "dedupe_latest", "delete_orphans", "detect_changes",
     "expression_is_true", "freshness", "gate", "guard_unique", "landing_merge", "landing_merge_feed",
     "landing_reload", "leak_check", "left_join_split_nulls", "live_rows", "load_summary", "lookup",

@@ -1,26 +1,10 @@
-"""Join helpers: size-checked broadcast and NULL-key splitting."""
+"""Join helper: NULL-key splitting."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it is proven to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows.
-
-    The check counts ``df.limit(max_rows + 1)``: every input partition stops
-    after ``max_rows + 1`` rows, so it is cheap for the small dimension
-    tables it is meant for and bounded per partition for large ones, which
-    are then left to the shuffle join (and to AQE's runtime re-planning).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def left_join_split_nulls(left: DataFrame, right: DataFrame, on: Column, left_key: str) -> DataFrame:
     """``left LEFT JOIN right ON on`` with NULL-keyed left rows kept out of the shuffle.
 

@@ -2,7 +2,7 @@
 
 A table lives under ``<base>/<name>/``:
 
-* ``v=<n>/`` – one complete Parquet copy per published version;
+* ``v=<n>-<id>/`` – one complete Parquet copy per write attempt of a version;
 * ``_log/``  – an append-only JSON log, one row per committed version.
 
 A version counts only once its log row is written, and the log row is
@@ -16,9 +16,11 @@ file system the cluster can reach.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,27 +49,32 @@ class SnapshotStore:
     def _log_path(self, name: str) -> str:
         return f"{self.base}/{name}/_log"
 
-    def _latest(self, name: str) -> tuple[int, str, T.StructType | None] | None:
-        if name in self._known:
-            return self._known[name]
+    def _last_entry(self, name: str):
+        """The newest log row, or None if there is no log; any other storage error is raised."""
         try:
             log = self.spark.read.schema(LOG_SCHEMA).json(self._log_path(name))
-            rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-        except Exception:  # no log yet: the table was never published
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        if not rows:
+        return log.orderBy(F.col("version").desc()).first()
+
+    def _latest(self, name: str, fresh: bool = False) -> tuple[int, str, T.StructType | None] | None:
+        """``fresh`` reads the log again, so another writer's commits are seen."""
+        known = self._known.get(name)
+        if known and not fresh:
+            return known
+        row = self._last_entry(name)
+        if row is None:
             return None
-        self._known[name] = (int(rows[0]["version"]), rows[0]["path"], None)
+        if not known or known[1] != row["path"]:
+            self._known[name] = (int(row["version"]), row["path"], None)
         return self._known[name]
 
     def committed_mode(self, name: str) -> str | None:
         """The ``mode`` tag recorded with the latest committed version."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).json(self._log_path(name))
-            rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-        except Exception:
-            return None
-        return rows[0]["mode"] if rows else None
+        row = self._last_entry(name)
+        return row["mode"] if row else None
 
     def version(self, name: str) -> int | None:
         latest = self._latest(name)
@@ -96,9 +103,10 @@ class SnapshotStore:
         uniqueness test that then reads only the key columns); if it raises,
         the version is never committed.
         """
-        latest = self.version(name)
-        version = 0 if latest is None else latest + 1
-        path = f"{self.base}/{name}/v={version}"
+        latest = self._latest(name, fresh=True)
+        version = 0 if latest is None else latest[0] + 1
+        # each attempt has a folder of its own: what a refused or crashed one left behind is never in the way
+        path = f"{self.base}/{name}/v={version}-{uuid.uuid4().hex[:12]}"
         writer = df.write.mode("errorifexists")
         parts = list(partition_by)
         if parts:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.hashing import row_fingerprint
 from lakeward.functions.text import concat_strict
-from lakeward.operators.joins import broadcast_if_small, left_join_split_nulls
+from lakeward.operators.joins import left_join_split_nulls
 from lakeward.sources.schemas import ENTITIES, RAW_HASH
 
 Ops = Mapping[str, DataFrame]
@@ -62,18 +62,16 @@ def addresses_extract(ops: Ops) -> DataFrame:
 
     Only links whose entity is a customer count (``IN (SELECT CustomerID
     ...)`` inside the ON clause), written as a semi join that filters the
-    link table before the outer join.  The two geography tables are
-    broadcast after a size check.
+    link table before the outer join.  How the two geography tables are joined is
+    left to their measured sizes at run time (AQE).
     """
     customers = ops["customer"].select(F.col("CustomerID").alias("BusinessEntityID"))
     links = ops["business_entity_address"].join(customers, "BusinessEntityID", "left_semi")
-    sp = broadcast_if_small(ops["state_province"])
-    cr = broadcast_if_small(ops["country_region"])
     joined = (
         ops["address"]
         .join(links, "AddressID", "left")
-        .join(sp, "StateProvinceID", "left")
-        .join(cr, "CountryRegionCode", "left")
+        .join(ops["state_province"], "StateProvinceID", "left")
+        .join(ops["country_region"], "CountryRegionCode", "left")
     )
     return joined.select(
         F.col("AddressID").alias("address_id"),

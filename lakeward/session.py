@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,11 +21,12 @@ def get_spark(app: str = "lakeward", master: str | None = None, shuffle_partitio
             # local mode runs everything in the driver JVM; its heap must be
             # sized before the JVM starts (the default is 1 GiB)
             b = b.config("spark.driver.memory", os.environ.get("LAKEWARD_DRIVER_MEMORY", "16g"))
-    parts = shuffle_partitions or int(os.environ.get("LAKEWARD_SHUFFLE_PARTITIONS", "8"))
+    # only a caller or a local test session sets the number; a cluster's own setting is left alone
+    if shuffle_partitions or (master and master.startswith("local")):
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     b = (
         b.config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -34,17 +34,3 @@ def get_spark(app: str = "lakeward", master: str | None = None, shuffle_partitio
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    Read from the session; only when it is unset (local tests) is a
-    scratch folder created and registered.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    path = tempfile.mkdtemp(prefix="lakeward-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path

@@ -47,7 +47,7 @@ def _s(c: str | Column) -> Column:
 
 
 def _initial_cap(c: str) -> Column:
-    return F.concat(F.substring(c, 1, 1), F.lower(F.substring(c, 2, 100)))
+    return F.concat(F.substring(c, 1, 1), F.lower(F.substring(c, F.lit(2), F.length(c))))
 
 
 def _region_code(c: str) -> Column:
@@ -68,7 +68,7 @@ def customers_side(t: DriverTables) -> dict[str, DataFrame]:
         F.col("c_custkey").cast(INT).alias("BusinessEntityID"),
         _initial_cap("c_mktsegment").alias("FirstName"),
         F.concat(
-            F.lit("No"), F.substring("c_name", 10, 100),
+            F.lit("No"), F.expr("substring(c_name, 10)"),
             F.when(F.col("c_acctbal") < 0, F.lit("  ")).otherwise(F.lit("")),
         ).alias("LastName"),
     )

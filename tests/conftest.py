@@ -9,11 +9,12 @@ if ROOT not in sys.path:
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from lakeward.session import get_spark, checkpoint_dir
+def spark(tmp_path_factory):
+    from lakeward.session import get_spark
 
     s = get_spark("lakeward-tests", master="local[4]", shuffle_partitions=4)
-    checkpoint_dir(s)
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
 

@@ -69,3 +69,22 @@ def test_freshness_thresholds(spark, age_hours, status):
 def test_freshness_empty_table_is_error(spark):
     df = spark.createDataFrame([], "_ingested_at timestamp_ntz")
     assert freshness(df, "raw", datetime(2024, 1, 1), 1, 3).first().status == "error"
+
+
+def test_tests_that_share_a_column_set_count_once(spark):
+    from lakeward.operators.contracts import duplicate_group_counts
+
+    df = spark.createDataFrame([(1, 2), (1, 2), (3, 4), (None, 1), (None, 1)], "k int, v int")
+    row = duplicate_group_counts(df, [(("k",), True), (("k",), False), (("k", "v"), False), (("v", "k"), False)]).first()
+    assert tuple(row) == (1, 2, 2, 2)
+
+
+def test_preset_shuffle_partitions_survive(spark):
+    from lakeward.session import get_spark
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        assert get_spark().conf.get("spark.sql.shuffle.partitions") == "2000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

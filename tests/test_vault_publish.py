@@ -84,3 +84,39 @@ def test_model_metadata_and_never_export(spark, scratch):
     with pytest.raises(ValueError, match="never_export"):
         run_project(store, lambda e: None, datetime(2024, 1, 1), select=["int_pii_vault_customers"],
                     exclude_tags=())
+
+
+def test_refused_and_half_written_versions_do_not_block_the_next(spark, scratch):
+    import os
+
+    import pytest
+    from lakeward.operators.publish import SnapshotStore
+
+    store = SnapshotStore(spark, scratch)
+    df = spark.range(3)
+
+    def refuse(_):
+        raise AssertionError("refused")
+
+    with pytest.raises(AssertionError):
+        store.write("t", df, check=refuse)
+    os.makedirs(f"{scratch}/t/v=0", exist_ok=True)
+    assert store.current("t") is None
+    assert store.write("t", df) == 0
+    other = SnapshotStore(spark, scratch)
+    assert other.write("t", spark.range(5)) == 1
+    assert store.write("t", spark.range(7)) == 2  # sees the other writer's commit
+    assert SnapshotStore(spark, scratch).current("t").count() == 7
+
+
+def test_other_storage_errors_are_raised(spark, scratch):
+    import os
+
+    import pytest
+    from lakeward.operators.publish import SnapshotStore
+
+    os.makedirs(f"{scratch}/t/_log")
+    with open(f"{scratch}/t/_log/part-0.json.gz", "wb") as f:
+        f.write(b"not a gzip file")
+    with pytest.raises(Exception):
+        SnapshotStore(spark, scratch).current("t")
