@@ -21,8 +21,8 @@ bands; texts that agree in a band share a bucket.  In each round, every bucket
 has a few heads (the first of its texts in hashed orders that change with the
 round), and every member is a candidate for the heads that are not yet in its
 component.  Of the candidates in one other component a text is compared with the one
-whose signature agrees most, by the multisets themselves; components are joined
-by the links, and rounds go on until one finds no link.  So a round's work grows
+whose signature agrees most, by the multisets themselves, and no pair is compared
+twice; components are joined by the links, and rounds go on until one finds no link.  So a round's work grows
 with the members of the buckets, never with their squares, and no bucket is
 capped: a group of any size becomes one component by way of its heads.
 
@@ -53,8 +53,8 @@ BANDS, ROWS = 24, 5
 #: Pairs whose signatures agree in fewer components are not compared: with a
 #: similarity of 0.8 that happens once in about 10^8 pairs (six standard deviations).
 SLACK_SD = 6.0
-#: Heads of a bucket in a round, and rounds at least.
-HEADS = 3
+#: Heads of a bucket in the first round and in later ones, which have few components left to join, and rounds at least.
+HEADS, LATER_HEADS = 3, 8
 MIN_ROUNDS = 2
 #: Shingles whose points are drawn at once in a task.
 AT_ONCE = 300_000
@@ -155,28 +155,40 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
         signed, "row long, doc_id long, sha string, same binary, bands array<long>, sig array<short>, words string")
 
 
-def _candidates(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, round_no: int, least: float) -> DataFrame:
-    """a, b, label_a, label_b: each text with the head of another component whose signature agrees most."""
+def _candidates(
+    buckets: DataFrame, labels: DataFrame, sigs: DataFrame, tried: list[DataFrame], round_no: int, least: float,
+) -> DataFrame:
+    """a, b, label_a, label_b (a < b): of each text's pairs with heads of another component the one that agrees most.
+
+    Pairs that an earlier round compared do not come again.
+    """
     owned = stage(buckets.join(labels, "row"), f"owned-{round_no}")
     first = lambda k: F.min(F.struct(
         F.xxhash64("row", F.lit(round_no), F.lit(k)).alias("h"), F.col("row").alias("head"), F.col("label").alias("head_label")))
     heads = owned.groupBy("band", "value").agg(
-        F.array_distinct(F.array(*[first(k) for k in range(HEADS)])).alias("heads"),
+        F.array_distinct(F.array(*[first(k) for k in range(LATER_HEADS if round_no else HEADS)])).alias("heads"),
         F.min("label").alias("low"), F.max("label").alias("high"),
     ).where("low != high").select("band", "value", F.transform(
         "heads", lambda h: F.struct(h["head"].alias("head"), h["head_label"].alias("head_label"))).alias("heads"))
     heads = stage(heads, f"heads-{round_no}")
     met = owned.join(heads, ["band", "value"]).select("row", "label", F.inline("heads")).where("label != head_label")
-    pairs = stage(met.distinct(), f"pairs-{round_no}")
-    near = pairs.join(sigs.toDF("row", "sig"), "row").join(sigs.toDF("head", "head_sig"), "head")
-    agree = F.aggregate(F.zip_with("sig", "head_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    near = near.select("row", "label", "head", "head_label", agree.alias("agree")).where(F.col("agree") >= least)
-    best = near.groupBy("row", "label", "head_label").agg(F.max(F.struct("agree", "head")).alias("best"))
-    return best.select(F.col("row").alias("a"), F.col("best.head").alias("b"), "label", "head_label")
+    lower = F.col("row") < F.col("head")
+    pairs = met.select(
+        F.least("row", "head").alias("a"), F.greatest("row", "head").alias("b"),
+        F.when(lower, F.col("label")).otherwise(F.col("head_label")).alias("label_a"),
+        F.when(lower, F.col("head_label")).otherwise(F.col("label")).alias("label_b"),
+    ).groupBy("a", "b").agg(F.min("label_a").alias("label_a"), F.min("label_b").alias("label_b"))  # a text has one label
+    if tried:
+        pairs = pairs.join(reduce(DataFrame.union, [t.select("a", "b") for t in tried]), ["a", "b"], "left_anti")
+    near = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
+    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    near = near.select("a", "b", "label_a", "label_b", agree.alias("agree")).where(F.col("agree") >= least)
+    best = near.groupBy("a", "label_a", "label_b").agg(F.max(F.struct("agree", "b")).alias("best"))
+    return best.select("a", F.col("best.b").alias("b"), "label_a", "label_b")
 
 
 def _linked(near: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Of the pairs (a, b, label, head_label) those whose multisets are similar enough."""
+    """Of the pairs (a, b, label_a, label_b) those whose multisets are similar enough."""
     both = near.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,17 +206,19 @@ def _linked(near: DataFrame, texts: DataFrame, threshold: float, width: int) ->
                 similarity(bag(a, x), bag(b, y)) >= threshold
                 for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["words_a"], pdf["words_b"])
             ]
-            yield pdf.loc[keep, ["a", "b", "label", "head_label"]]
+            yield pdf.loc[keep, ["a", "b", "label_a", "label_b"]]
 
-    return both.select("a", "b", "label", "head_label", "words_a", "words_b").mapInPandas(
-        verified, "a long, b long, label long, head_label long")
+    return both.select("a", "b", "label_a", "label_b", "words_a", "words_b").mapInPandas(
+        verified, "a long, b long, label_a long, label_b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of its connected component, for all nodes of the edges (a, b).
 
-    Alternates the large-star and small-star steps on written tables until
-    nothing changes; minima are taken map-side before they are joined back.
+    Alternates the large-star and small-star steps on written tables until all
+    edges form stars: no node has two smaller neighbours, and none is both the
+    larger end of an edge and the smaller end of another.  Minima are taken
+    map-side before they are joined back.
     """
     def star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges if not large else edges.union(edges.select("b", "a"))
@@ -218,13 +232,13 @@ def components(edges: DataFrame) -> DataFrame:
         return out.where("a != b").distinct()
 
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    state = None
     while True:
         edges = stage(star(star(edges, True), False), "stars")
-        new = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if new == state:
+        ends = edges.select(F.inline(F.array(
+            F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))))
+        ups = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+        if ups.where("up > 1 or (up = 1 and least = 0)").count() == 0:
             break
-        state = new
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
 
@@ -255,15 +269,17 @@ def near_duplicates(
     least = threshold * size - SLACK_SD * (size * threshold * (1 - threshold)) ** 0.5
     labels = some.select("row", F.col("row").alias("label"))
     found: list[DataFrame] = []
+    tried: list[DataFrame] = []
     while True:
-        near = stage(_candidates(buckets, labels, sigs, len(found), least), "near")
+        near = stage(_candidates(buckets, labels, sigs, tried, len(found), least), "near")
         new = stage(_linked(near, texts, threshold, width), "links")
+        tried.append(near)
         found.append(new)
-        if new.isEmpty():
+        if new.count() == 0:
             if len(found) >= MIN_ROUNDS:
                 break
             continue
-        merged = components(new.select(F.col("label").alias("a"), F.col("head_label").alias("b")))
+        merged = components(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
         joined = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
         labels = stage(joined.select("row", F.coalesce("to", "label").alias("label")), "labels")
     links = reduce(DataFrame.union, found)
