@@ -19,12 +19,14 @@ shingles, not that many times the signature's length.
 Texts with equal words are one class from the start.  Signatures are cut into
 bands; texts that agree in a band share a bucket.  In each round, every bucket
 has a few heads (the first of its texts in hashed orders that change with the
-round), and every member is a candidate for the heads that are not yet in its
-component.  Of the candidates in one other component a text is compared with the one
-whose signature agrees most, by the multisets themselves, and no pair is compared
-twice; components are joined by the links, and rounds go on until one finds no link.  So a round's work grows
-with the members of the buckets, never with their squares, and no bucket is
-capped: a group of any size becomes one component by way of its heads.
+round), and one member of each component that the bucket meets is a candidate
+for the heads outside that component (at first each text is a component).  Of
+the candidates in one other component a text is compared with the one whose
+signature agrees most, by the multisets themselves, and no pair is compared
+twice; components are joined by the links, and rounds go on until one finds no
+link.  So a round's work grows with the members of the buckets, never with
+their squares, and no bucket is capped: a group of any size becomes one
+component by way of its heads.
 
 Defined results: words are runs of letters and digits, in lower case; a text
 of fewer words than a shingle has one shingle of all its words; NULL text counts as empty,
@@ -171,6 +173,11 @@ def _candidates(
     ).where("low != high").select("band", "value", F.transform(
         "heads", lambda h: F.struct(h["head"].alias("head"), h["head_label"].alias("head_label"))).alias("heads"))
     heads = stage(heads, f"heads-{round_no}")
+    if round_no:
+        # one text of each component meets a bucket's heads, another one in each round
+        turn = F.struct(F.xxhash64("row", F.lit(round_no), F.lit(-1)).alias("h"), "row")
+        owned = stage(owned.groupBy("band", "value", "label").agg(F.min(turn).alias("turn")).select(
+            "band", "value", "label", "turn.row"), f"members-{round_no}")
     met = owned.join(heads, ["band", "value"]).select("row", "label", F.inline("heads")).where("label != head_label")
     lower = F.col("row") < F.col("head")
     pairs = met.select(
