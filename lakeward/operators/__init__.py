@@ -23,7 +23,7 @@ from lakeward.operators.contracts import (
 )
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness, freshness
-from lakeward.operators.joins import left_join_split_nulls
+from lakeward.operators.joins import left_join_split_nulls, left_join_spread
 from lakeward.operators.keys import DuplicateKeyError, assert_unique_keys, guard_unique
 from lakeward.operators.landing import (
     LoadStamp,
@@ -43,7 +43,7 @@ __all__ = [
     "apply_changes_stepwise", "assert_unique_keys", "batch_audit", "change_counts",
     "check_freshness", "classify_changes", "cross_verify", "dedupe_latest", "delete_orphans", "detect_changes",
     "expression_is_true", "freshness", "gate", "guard_unique", "landing_merge", "landing_merge_feed",
-    "landing_reload", "leak_check", "left_join_split_nulls", "live_rows", "load_summary", "lookup",
+    "landing_reload", "leak_check", "left_join_split_nulls", "left_join_spread", "live_rows", "load_summary", "lookup",
     "lookup_by_clear_value", "merge_changes", "not_null", "relationships", "rows_affected", "run_contracts",
     "stage", "stamp", "sync_columns", "table_path", "tables_per_layer", "unique", "unique_combination",
 ]

@@ -8,12 +8,13 @@ The classic recipe runs three passes over the target:
    fingerprint differs;
 3. :func:`merge_changes` – upsert those rows by key.
 
-:func:`apply_changes` computes the same new state in **one** full outer
-join on the key (one shuffle per side): every key is classified as
-``insert`` / ``update`` / ``unchanged`` / ``delete`` and a single
-projection picks the staged row (insert/update), the old target row
-(unchanged, so old load stamps survive) or nothing (delete).
-:func:`classify_changes` exposes that change feed.
+:func:`apply_changes` computes the same new state in **one** left join of
+the staged rows with the target on the key (one shuffle per side): a single
+projection picks the staged row (insert/update) or the old target row
+(unchanged, so old load stamps survive); keys that left the source find no
+staged row.  Its output stays partitioned by the staged key.  The typed form
+is a full outer join that also returns the deleted target rows, and
+:func:`classify_changes` is the change feed of keys and fingerprints.
 
 Keys must be unique on both sides (checked on the staged side by
 default), exactly as a SQL ``MERGE`` refuses a double match.  Unique keys
@@ -48,6 +49,15 @@ def _changed(hash_col: str) -> Column:
     return F.coalesce(F.col("s_" + hash_col) != F.col("t_" + hash_col), F.lit(False))
 
 
+def _change_type(s_hit: Column, t_hit: Column, hash_col: str) -> Column:
+    return (
+        F.when(~t_hit, INSERT)
+        .when(~s_hit, DELETE)
+        .when(_changed(hash_col), UPDATE)
+        .otherwise(UNCHANGED)
+    )
+
+
 def classify_changes(
     staged: DataFrame,
     target: DataFrame,
@@ -59,15 +69,9 @@ def classify_changes(
     s = staged.select(*keys, hash_col)
     t = target.select(*keys, hash_col)
     joined, s_hit, t_hit = presence_join(s, t, keys, "s_", "t_")
-    change = (
-        F.when(~t_hit, INSERT)
-        .when(~s_hit, DELETE)
-        .when(_changed(hash_col), UPDATE)
-        .otherwise(UNCHANGED)
-    )
     return joined.select(
         *keys,
-        change.alias(CHANGE_TYPE),
+        _change_type(s_hit, t_hit, hash_col).alias(CHANGE_TYPE),
         F.col("s_" + hash_col).alias("source_hash"),
         F.col("t_" + hash_col).alias("target_hash"),
     )
@@ -146,6 +150,10 @@ def apply_changes(
     rows only, so unchanged rows keep every value of their previous load.
     ``target=None`` is the first load (or a full refresh): every staged row
     is inserted.
+
+    ``with_change_type`` returns the change feed with whole rows instead: the
+    new state with a ``_change_type`` per row, and each target row whose key
+    left the source, with its old values, as ``delete``.
     """
     keys = list(keys)
     if target is None:
@@ -155,14 +163,9 @@ def apply_changes(
         return out.withColumn(CHANGE_TYPE, F.lit(INSERT)) if with_change_type else out
     incoming = project(guard_unique(staged, keys, "staged source") if validate_keys else staged)
 
-    joined, s_hit, t_hit = presence_join(incoming, target, keys, "s_", "t_")
+    joined, s_hit, t_hit = presence_join(
+        incoming, target, keys, "s_", "t_", how="full_outer" if with_change_type else "left")
     take_source = s_hit & (~t_hit | _changed(hash_col))
-    change = (
-        F.when(~t_hit, INSERT)
-        .when(~s_hit, DELETE)
-        .when(_changed(hash_col), UPDATE)
-        .otherwise(UNCHANGED)
-    )
     target_cols = set(target.columns)
     cols: list[Column] = []
     for f in incoming.schema.fields:
@@ -177,8 +180,8 @@ def apply_changes(
         else:  # column added since the last run: NULL on unchanged rows
             cols.append(F.when(take_source, F.col("s_" + f.name)).alias(f.name))
     if with_change_type:
-        cols.append(change.alias(CHANGE_TYPE))
-    return joined.where(s_hit).select(*cols)
+        cols.append(_change_type(s_hit, t_hit, hash_col).alias(CHANGE_TYPE))
+    return joined.select(*cols)
 
 
 def apply_changes_stepwise(

@@ -14,8 +14,9 @@ Five test kinds, with the failure counts of the generic tests they mirror:
 Each test has a severity (``error`` by default, or ``warn``); the status
 is ``pass`` without failures, else ``warn`` or ``fail`` by severity.
 
-Cost per table: **one** aggregate pass for all of its not-null,
-accepted-value and expression tests, **one** grouping-sets aggregation for
+Cost per table: **one** aggregate pass for all of its not-null and expression
+tests, one for its accepted-value tests (only values outside the accepted sets
+leave the scan, so nothing is expanded per test), **one** grouping-sets aggregation for
 all of its unique/combination tests (map-side partial counts collapse a hot
 key before the shuffle) and, per relationship, a pre-aggregated child side
 (one row per distinct value, so a hot foreign key is collapsed map-side)
@@ -115,14 +116,25 @@ def _scan_metric(t: ContractTest) -> Column:
         return F.count(F.when(F.col(t.columns[0]).isNull(), F.lit(1)))
     if t.test == EXPRESSION:
         return F.count(F.when(~F.expr(t.expression), F.lit(1)))
-    return F.count_distinct(_bad_value(t))
+    raise ValueError(f"{t.test} is not counted in a scan")
+
+
+def bad_value_counts(df: DataFrame, tests: Sequence[ContractTest]) -> DataFrame:
+    """Distinct values outside each accepted-values test's set, as one row ``m0, m1, ...``.
+
+    Good values are dropped before anything is grouped.
+    """
+    bad = F.array(*[
+        F.struct(F.lit(i).alias("i"), _bad_value(t).cast(T.StringType()).alias("v")) for i, t in enumerate(tests)])
+    values = df.select(F.explode(F.filter(bad, lambda b: b["v"].isNotNull())).alias("b")).select("b.i", "b.v").distinct()
+    return values.agg(*[F.count(F.when(F.col("i") == i, F.lit(1))).alias(f"m{i}") for i in range(len(tests))])
 
 
 def scan_failures(df: DataFrame, tests: Sequence[ContractTest]) -> list[Column]:
     """Aggregate columns ``m0, m1, ...`` with each test's failure count.
 
-    Meant for a single ``df.agg(...)`` pass over the table (not-null,
-    accepted-value and expression tests); the caller turns them into rows.
+    Meant for a single ``df.agg(...)`` pass over the table (not-null and
+    expression tests); the caller turns them into rows.
     """
     return [_scan_metric(t).alias(f"m{i}") for i, t in enumerate(tests)]
 
@@ -199,13 +211,12 @@ def run_contracts(
         by_model.setdefault(t.model, []).append(t)
     for model_name, model_tests in by_model.items():
         df = tables[model_name]
-        scanned = [t for t in model_tests if t.test in (NOT_NULL, ACCEPTED, EXPRESSION)]
-        if scanned:
-            agg = df.agg(*scan_failures(df, scanned))
-            rows = [
-                F.struct(*_result(t, F.col(f"m{i}"))) for i, t in enumerate(scanned)
-            ]
-            parts.append(agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+        scanned = [t for t in model_tests if t.test in (NOT_NULL, EXPRESSION)]
+        valued = [t for t in model_tests if t.test == ACCEPTED]
+        for group, agg in ((scanned, lambda g: df.agg(*scan_failures(df, g))), (valued, lambda g: bad_value_counts(df, g))):
+            if group:
+                rows = [F.struct(*_result(t, F.col(f"m{i}"))) for i, t in enumerate(group)]
+                parts.append(agg(group).select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
         keyed = [t for t in model_tests if t.test in (UNIQUE, UNIQUE_COMBO)]
         if keyed:
             sets = [(t.columns, t.test == UNIQUE) for t in keyed]

@@ -1,10 +1,11 @@
-"""Join helper: NULL-key splitting."""
+"""Join helpers: NULL-key splitting and spreading of hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def left_join_split_nulls(left: DataFrame, right: DataFrame, on: Column, left_key: str) -> DataFrame:
     """``left LEFT JOIN right ON on`` with NULL-keyed left rows kept out of the shuffle.
 
@@ -19,3 +20,21 @@ def left_join_split_nulls(left: DataFrame, right: DataFrame, on: Column, left_ke
         if f.name not in unkeyed.columns:
             unkeyed = unkeyed.withColumn(f.name, F.lit(None).cast(f.dataType))
     return keyed.unionByName(unkeyed.select(*keyed.columns))
+
+
+def left_join_spread(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str, parts: int = 16,
+) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` with each key's left rows spread over ``parts`` tasks.
+
+    For a right side that is itself an aggregate (a distinct key set): AQE does
+    not split skewed joins of that shape, so one hot key would be one task.
+    Every right row is repeated ``parts`` times and a left row meets the copy
+    that a hash of ``spread_by`` names.  Left rows with a NULL key match
+    nothing and are spread over all tasks.  ``left`` is scanned once.
+    """
+    turn = F.xxhash64(spread_by)
+    left = left.withColumn("__turn", F.when(F.col(left_key).isNull(), turn).otherwise(F.pmod(turn, F.lit(parts).cast("long"))))
+    copies = right.withColumn("__copy", F.explode(F.array(*[F.lit(i).cast("long") for i in range(parts)])))
+    on = (F.col(left_key) == F.col(right_key)) & (F.col("__turn") == F.col("__copy"))
+    return left.join(copies, on, "left").drop("__turn", "__copy")

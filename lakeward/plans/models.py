@@ -30,7 +30,7 @@ from lakeward.functions.hashing import pii_hash, surrogate_key
 from lakeward.functions.text import clean_lower, clean_upper, date_text
 from lakeward.operators.cdc import apply_changes
 from lakeward.operators.dedupe import dedupe_latest
-from lakeward.operators.joins import left_join_split_nulls
+from lakeward.operators.joins import left_join_spread
 from lakeward.operators.staging import loaded_at, stage
 from lakeward.sources.schemas import (
     BATCH_ID,
@@ -200,13 +200,14 @@ def int_orders(run: Run) -> DataFrame:
     pure function of ``customer_id``), so the join uses the distinct
     customer ids of the staged customers — exactly the ids of
     ``int_customers`` — and the header side is joined to it *before* the
-    lines, so the large line table is shuffled once (on the order id).
+    lines, so the large line table is shuffled once (on the order id).  A
+    customer with a large share of all orders is spread over several tasks.
     """
     h = run.ref("stg_erp__order_headers")
     d = run.ref("stg_erp__order_details")
     known = (run.ref("stg_crm__customers").select("customer_id").where(F.col("customer_id").isNotNull())
              .distinct().select(F.col("customer_id").alias("known_customer_id")))
-    h = left_join_split_nulls(h, known, h["customer_id"] == known["known_customer_id"], "customer_id")
+    h = left_join_spread(h, known, "customer_id", "known_customer_id", spread_by="sales_order_id")
     joined = h.alias("h").join(d.alias("d"), F.col("h.sales_order_id") == F.col("d.sales_order_id"), "inner")
     return joined.select(
         F.col("h.sales_order_id").alias("sales_order_id"),

@@ -1,9 +1,11 @@
 """Run (a selection of) the project: build models in dependency order and
 materialize the tables into a :class:`~lakeward.operators.publish.SnapshotStore`.
 
-Selection mirrors the usual model selectors: a layer (``staging``), a model
-name, ``+name`` (the model and everything upstream), ``name+`` (the model
-and everything downstream) and ``tag:<tag>``.  ``exclude_tags`` drops
+Selection mirrors the usual model selectors: a layer or the schema it is
+written to (``staging``, ``intermediate``, ``certified`` or
+``azure_fabric``), a model name, ``+name`` (the model and everything
+upstream), ``name+`` (the model and everything downstream), ``+name+`` (both)
+and ``tag:<tag>``.  A selector that matches no model is an error.  ``exclude_tags`` drops
 models carrying any of the tags (e.g. ``local_only`` vaults are never
 published).  Views are not written: dependants read them lazily.  After a
 table is written its dependants read the written copy, which keeps each
@@ -21,6 +23,10 @@ from lakeward.operators.publish import SnapshotStore, excluded, leak_check, pii_
 from lakeward.plans.models import MODELS, Run, topological_order
 
 
+#: Fixed value: the schema that the certified layer is written to.
+SCHEMA_LAYER = {"azure_fabric": "certified"}
+
+
 def _downstream(name: str) -> set[str]:
     out = {name}
     changed = True
@@ -44,22 +50,29 @@ def _upstream(name: str) -> set[str]:
     return out
 
 
+def _matching(selector: str) -> set[str]:
+    if selector.startswith("tag:"):
+        found = {m for m, i in MODELS.items() if selector[4:] in i.tags}
+    else:
+        name = selector.strip("+")
+        layer = SCHEMA_LAYER.get(name, name)
+        roots = {name} & set(MODELS) or {m for m, i in MODELS.items() if i.layer == layer}
+        found = set(roots)
+        for m in roots:
+            if selector.startswith("+"):
+                found |= _upstream(m)
+            if selector.endswith("+"):
+                found |= _downstream(m)
+    if not found:
+        raise KeyError(f"selector {selector!r} matches no model")
+    return found
+
+
 def select_models(select: Iterable[str] | None = None, exclude_tags: Iterable[str] = ()) -> list[str]:
     """Model names matching the selectors, in dependency order."""
     chosen: set[str] = set()
-    for s in (select or list(MODELS)):
-        if s.startswith("tag:"):
-            chosen |= {m for m, i in MODELS.items() if s[4:] in i.tags}
-        elif s.startswith("+"):
-            chosen |= _upstream(s[1:])
-        elif s.endswith("+"):
-            chosen |= _downstream(s[:-1])
-        elif s in ("staging", "intermediate", "certified"):
-            chosen |= {m for m, i in MODELS.items() if i.layer == s}
-        else:
-            if s not in MODELS:
-                raise KeyError(f"unknown model {s!r}")
-            chosen.add(s)
+    for s in (list(MODELS) if select is None else select):
+        chosen |= _matching(s)
     return [m for m in topological_order(chosen) if not excluded(MODELS[m].tags, exclude_tags)]
 
 
@@ -90,7 +103,7 @@ def run_project(
             continue
         df = run.ref(name)
         leaks = leak_check({name: df}, pii)
-        if leaks and info.pii_free:
+        if leaks:
             raise ValueError(f"refusing to publish PII columns: {leaks}")
         mode = "incremental" if info.materialized == "incremental" and not full_refresh else "full"
         written[name] = store.write(name, df, mode=mode)

@@ -43,6 +43,7 @@ def test_apply_changes_classifies_every_key(spark, staged, target):
         (1, "a", "old", "unchanged"),
         (2, "B", "new", "update"),
         (3, "c", "old", "unchanged"),
+        (4, "d", "old", "delete"),
         (5, "e", "new", "insert"),
     ]
 
@@ -89,7 +90,7 @@ def test_composite_key_differing_in_one_part(spark):
     target = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], s)
     staged = spark.createDataFrame([(1, 1, "a"), (1, 3, "c")], s)
     out = cdc.apply_changes(staged, target, ["o", "l"], with_change_type=True)
-    assert rows(out, "o", "l", "_change_type") == [(1, 1, "unchanged"), (1, 3, "insert")]
+    assert rows(out, "o", "l", "_change_type") == [(1, 1, "unchanged"), (1, 2, "delete"), (1, 3, "insert")]
     assert rows(cdc.delete_orphans(target, staged, ["o", "l"]), "o", "l") == [(1, 1)]
     assert rows(cdc.detect_changes(staged, target, ["o", "l"]), "o", "l") == [(1, 3)]
 
@@ -115,3 +116,11 @@ def test_run_stamps_are_literals(spark, staged):
     from lakeward.operators.staging import loaded_at
     got = staged.select(loaded_at(datetime(2024, 1, 2, 3, 4, 5))).first()[0]
     assert got == datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_null_keys_are_refused(spark, target):
+    unkeyed = spark.createDataFrame([(None, "a", "", "h", None)], SCHEMA)
+    with pytest.raises(DuplicateKeyError):
+        cdc.apply_changes(unkeyed, None, ["id"])
+    with pytest.raises(Exception, match="not unique or NULL"):
+        cdc.apply_changes(unkeyed, target, ["id"]).collect()

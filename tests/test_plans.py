@@ -62,3 +62,52 @@ def test_contract_scan_is_one_aggregate_per_table(spark):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("x"))
     out = run_contracts({"t": df}, [not_null("t", "id"), not_null("t", "x")])
     assert physical(out).count("HashAggregate(keys=[]") <= 2  # partial + final, one pass
+
+
+def test_new_state_stays_partitioned_by_its_key(spark, scratch, static_plans):
+    s = "id long, v string, _raw_hash string"
+    for name in ("t", "s", "other"):
+        spark.createDataFrame([(i, name, str(i)) for i in range(50)], s).write.parquet(f"{scratch}/{name}")
+    t, staged, other = (spark.read.parquet(f"{scratch}/{n}") for n in ("t", "s", "other"))
+    state = cdc.apply_changes(staged, t, ["id"])
+    plan = physical(state.join(other.select("id", F.col("v").alias("w")), "id"))
+    assert plan.count("Exchange hashpartitioning") == 3  # staged, target and the other table, none of them twice
+
+
+def test_hot_customer_is_spread_over_tasks(spark, scratch, static_plans):
+    from lakeward.operators.joins import left_join_spread
+
+    heads = spark.range(4000).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id")).cast("long").alias("customer"))
+    known = heads.select(F.col("customer").alias("known")).where("known % 3 = 1").distinct()
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        out = left_join_spread(heads, known, "customer", "known", spread_by="order_id")
+        got = {(r["order_id"], r["customer"], r["known"]) for r in out.collect()}
+        want = {(r["order_id"], r["customer"], r["customer"] if r["customer"] is not None and r["customer"] % 3 == 1 else None)
+                for r in heads.collect()}
+        assert got == want and out.count() == 4000
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 1000  # one customer has 2,000 orders, and 400 orders have none
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_int_orders_scans_its_headers_once(spark, static_plans):
+    from lakeward.plans.models import MODELS, Run
+    from lakeward.sources.schemas import ENTITIES
+    from datetime import datetime
+
+    empty = lambda e: spark.createDataFrame([], ENTITIES[e].raw_schema)
+    run = Run(raw=empty, run_ts=datetime(2024, 1, 1), previous=lambda name: None, validate_keys=False)
+    logical = MODELS["int_orders"].build(run)._jdf.queryExecution().analyzed().toString()
+    assert "Union" not in logical
+
+
+def test_accepted_values_expand_nothing(spark):
+    from lakeward.operators.contracts import accepted_values, run_contracts
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 9), ("c", None)], "x string, y int")
+    out = run_contracts({"t": df}, [accepted_values("t", "x", ["a"]), accepted_values("t", "y", [1, 2])])
+    assert sorted((r.column_name, r.failures) for r in out.collect()) == [("x", 2), ("y", 2)]
+    assert "Expand" not in physical(out)

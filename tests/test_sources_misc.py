@@ -43,3 +43,31 @@ def test_case_insensitive_accepted_values(spark):
     assert got == {3}  # 'm ', 's', 'X'
     got = {r.failures for r in run_contracts({"t": df}, [loose]).collect()}
     assert got == {1}  # only 'X'
+
+
+def test_drifted_files_raise(spark, scratch):
+    from lakeward.sources.readers import SchemaDriftError
+
+    src = spark.createDataFrame([(1, "Sales", "Ops")], "department_id short, name string, group_name string")
+    raw = landing_reload(src, DEPARTMENTS, LoadStamp("b", datetime(2024, 1, 1)))
+    raw.drop("_is_deleted").write.parquet(f"{scratch}/less")
+    with pytest.raises(SchemaDriftError, match="_is_deleted: absent"):
+        read_raw(spark, f"{scratch}/less", DEPARTMENTS)
+    raw.withColumn("department_id", raw["department_id"].cast("string")).write.parquet(f"{scratch}/other")
+    with pytest.raises(SchemaDriftError, match="department_id: string"):
+        read_raw(spark, f"{scratch}/other", DEPARTMENTS)
+    raw.selectExpr("'abc' as department_id", *raw.columns[1:]).write.csv(f"{scratch}/csv", header=True)
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        read_raw(spark, f"{scratch}/csv", DEPARTMENTS, "csv", header="true").collect()
+
+
+def test_selectors():
+    from lakeward.plans.runner import select_models
+
+    assert select_models(["azure_fabric"]) == select_models(["certified"])
+    both = select_models(["+int_orders+"])
+    assert {"stg_erp__order_headers", "int_customers", "int_orders", "az_orders"} <= set(both)
+    assert set(both) == set(select_models(["+int_orders"])) | set(select_models(["int_orders+"]))
+    for unknown in ("tag:none", "nothing", "+nothing+"):
+        with pytest.raises(KeyError):
+            select_models([unknown])
