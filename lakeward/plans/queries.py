@@ -295,6 +295,31 @@ def star_join(spark, sf_dir):
                     "account_number", "product_id", "product_name", "line_total"))
 
 
+def star_addresses(spark, sf_dir):
+    """Published star: addresses with the account of the customer they belong to."""
+    run = _pipe(spark, sf_dir).run(2)
+    addresses = run.ref("az_addresses").select("address_id", "customer_sk", "city", "country_region")
+    accounts = run.ref("az_customers").select("customer_sk", "account_number")
+    return addresses.join(accounts, "customer_sk", "left")
+
+
+def star_orders(spark, sf_dir):
+    """Published star: the order fact with its customer's account and its product's name."""
+    run = _pipe(spark, sf_dir).run(2)
+    fact = run.ref("az_orders").select("sales_order_id", "sales_order_detail_id", "customer_sk", "product_id", "line_total_net")
+    accounts = run.ref("az_customers").select("customer_sk", "account_number")
+    products = run.ref("az_products").select("product_id", "product_name")
+    return fact.join(accounts, "customer_sk", "left").join(products, "product_id", "left")
+
+
+def cdc_typed_feed_customers(spark, sf_dir):
+    """New state of the certified customers with each row's change type, and the rows that go, as ``delete``."""
+    run = _pipe(spark, sf_dir).run(2)
+    staging, entity, project = CDC_MODELS["az_customers"]
+    return cdc.apply_changes(run.ref(staging), run.previous("az_customers"), ENTITIES[entity].key, project=project(run),
+                             validate_keys=run.validate_keys, with_change_type=True)
+
+
 def build_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name in MODELS:
@@ -331,5 +356,8 @@ def build_queries() -> dict[str, Query]:
     q["audit_load_summary"] = audit_load_summary
     q["audit_batches"] = audit_batches
     q["star_join"] = star_join
+    q["star_addresses"] = star_addresses
+    q["star_orders"] = star_orders
+    q["cdc_typed_feed_customers"] = cdc_typed_feed_customers
     return q
 
