@@ -25,8 +25,17 @@ the candidates in one other component a text is compared with the one whose
 signature agrees most, by the multisets themselves, and no pair is compared
 twice; components are joined by the links, and rounds go on until one finds no
 link.  So a round's work grows with the members of the buckets, never with
-their squares, and no bucket is capped: a group of any size becomes one
-component by way of its heads.
+their squares: a group of any size soon becomes a few components by way of its
+heads.
+
+The rounds only spare work.  What they leave is then closed exactly: in every
+bucket that still holds several components and was too large for its first
+heads to meet all pairs, every pair of texts of different components is
+compared, in tiles of two blocks of texts, so that no task holds a whole
+bucket and no pair becomes a row.  A pair that shares several bands is looked
+at in the first of them only.  So the classes do not depend on which heads
+were drawn nor on when the rounds ended; the work of this step grows with the
+pairs of texts of different components in such buckets.
 
 Defined results: words are runs of letters and digits, in lower case; a text
 of fewer words than a shingle has one shingle of all its words; NULL text counts as empty,
@@ -43,7 +52,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import rows_of, stage, text_or_empty
@@ -58,6 +67,8 @@ SLACK_SD = 6.0
 #: Heads of a bucket in the first round and in later ones, which have few components left to join, and rounds at least.
 HEADS, LATER_HEADS = 3, 8
 MIN_ROUNDS = 2
+#: Texts of a block and shingles that are compared at once when crowded buckets are closed.
+BLOCK, COMPARED = 512, 2_000_000
 #: Shingles whose points are drawn at once in a task.
 AT_ONCE = 300_000
 
@@ -157,6 +168,11 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
         signed, "row long, doc_id long, sha string, same binary, bands array<long>, sig array<short>, words string")
 
 
+def _turn(round_no: int, k: int) -> Column:
+    """The hash whose order gives a bucket's k-th head in a round."""
+    return F.xxhash64("row", F.lit(round_no), F.lit(k))
+
+
 def _candidates(
     buckets: DataFrame, labels: DataFrame, sigs: DataFrame, tried: list[DataFrame], round_no: int, least: float,
 ) -> DataFrame:
@@ -166,7 +182,7 @@ def _candidates(
     """
     owned = stage(buckets.join(labels, "row"), f"owned-{round_no}")
     first = lambda k: F.min(F.struct(
-        F.xxhash64("row", F.lit(round_no), F.lit(k)).alias("h"), F.col("row").alias("head"), F.col("label").alias("head_label")))
+        _turn(round_no, k).alias("h"), F.col("row").alias("head"), F.col("label").alias("head_label")))
     heads = owned.groupBy("band", "value").agg(
         F.array_distinct(F.array(*[first(k) for k in range(LATER_HEADS if round_no else HEADS)])).alias("heads"),
         F.min("label").alias("low"), F.max("label").alias("high"),
@@ -175,7 +191,7 @@ def _candidates(
     heads = stage(heads, f"heads-{round_no}")
     if round_no:
         # one text of each component meets a bucket's heads, another one in each round
-        turn = F.struct(F.xxhash64("row", F.lit(round_no), F.lit(-1)).alias("h"), "row")
+        turn = F.struct(_turn(round_no, -1).alias("h"), "row")
         owned = stage(owned.groupBy("band", "value", "label").agg(F.min(turn).alias("turn")).select(
             "band", "value", "label", "turn.row"), f"members-{round_no}")
     met = owned.join(heads, ["band", "value"]).select("row", "label", F.inline("heads")).where("label != head_label")
@@ -219,6 +235,110 @@ def _linked(near: DataFrame, texts: DataFrame, threshold: float, width: int) ->
         verified, "a long, b long, label_a long, label_b long")
 
 
+def _crowded(buckets: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold pairs without a head of the first round, which compared all pairs with one."""
+    heads = F.array_distinct(F.array(*[F.min(F.struct(_turn(0, k).alias("h"), "row"))["row"] for k in range(HEADS)]))
+    large = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.size(heads).alias("heads"))
+    large = stage(large.where("n > heads + 1").select("band", "value"), "large")
+    return stage(buckets.join(large.hint("merge"), ["band", "value"]), "crowded")
+
+
+def _tiles(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """row, label, band, side and the tile (value, own_a, part_a, own_b, part_b) of all texts whose pairs are not all tried.
+
+    A bucket's larger components have blocks of their own, the others share
+    blocks; a tile is two blocks (or a shared one alone) that can hold
+    different components.
+    """
+    owned = stage(crowded.join(labels, "row"), "open")
+    place = ["band", "value"]
+    sizes = owned.groupBy(*place, "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("own", F.when(F.col("n") * 2 > BLOCK, F.col("label")).otherwise(F.lit(-1).cast("long")))
+    sizes = stage(sizes, "sizes")
+    mixed_ones = sizes.groupBy(*place).agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select(*place)
+    blocks = stage(sizes.join(mixed_ones, place).groupBy(*place, "own").agg(
+        F.ceil(F.sum("n") / BLOCK).cast("long").alias("parts")), "blocks")
+    each = blocks.select(*place, "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    a = each.select(*place, F.col("own").alias("own_a"), F.col("part").alias("part_a"))
+    b = each.select(*place, F.col("own").alias("own_b"), F.col("part").alias("part_b"))
+    shared = F.col("own_a") == -1
+    tiles = a.join(b, place).where(
+        (F.col("own_a") < F.col("own_b")) | (shared & (F.col("own_b") == -1) & (F.col("part_a") <= F.col("part_b"))))
+    alone = (F.col("own_a") == F.col("own_b")) & (F.col("part_a") == F.col("part_b"))
+    side = lambda k, x: F.struct(F.lit(k).alias("side"), F.col(f"own_{x}").alias("own"), F.col(f"part_{x}").alias("part"))
+    halves = stage(tiles.select("*", F.inline(F.when(alone, F.array(side(0, "a"))).otherwise(
+        F.array(side(0, "a"), side(1, "b"))))), "halves")
+    # a shared block holds a component as a whole, one of a large component some of its texts
+    rows = owned.join(sizes.select(*place, "label", "own"), [*place, "label"]).join(blocks, [*place, "own"]).withColumn(
+        "part", F.pmod(F.xxhash64(F.when(F.col("own") == -1, F.col("label")).otherwise(F.col("row"))), F.col("parts"))).drop("parts")
+    return rows.join(halves, [*place, "own", "part"]).drop("own", "part")
+
+
+def tile_links(
+    row: np.ndarray, label: np.ndarray, side: np.ndarray, band: int, bands: np.ndarray, sig: np.ndarray,
+    found: list[str], threshold: float, least: float, width: int,
+) -> list[tuple[int, int, int, int]]:
+    """a, b, label_a, label_b (a < b): links that join all components which a similar pair of the tile joins.
+
+    Pairs lie between the two sides, or within the one side there is, and
+    share ``band`` as their first band.
+    """
+    two, near = bool(side.any()), []
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == int(two))
+    n = np.array([max(1, x.count(" ") + 2 - width) for x in found])
+    for i in left:
+        j = right if two else right[right > i]
+        j = j[(label[j] != label[i]) & (np.minimum(n[j], n[i]) / np.maximum(n[j], n[i]) >= threshold)]
+        j = j[(bands[j] == bands[i]).argmax(axis=1) == band]
+        agree = (sig[j] == sig[i]).sum(axis=1)
+        j = j[agree >= least][np.argsort(-agree[agree >= least], kind="stable")]
+        if len(j):
+            near.append((i, j))
+    if not near:
+        return []
+    wanted = np.unique(np.concatenate([np.append(j, i) for i, j in near]))
+    bags = {k: shingles(hashes(found[k].split()), width) for k in wanted}
+    keys, at = np.unique(np.concatenate([bags[k][0] for k in wanted]), return_inverse=True)
+    ends = np.cumsum([len(bags[k][0]) for k in wanted])
+    places = dict(zip(wanted, np.split(at, ends[:-1])))
+    count, component, out = np.zeros(len(keys), np.int64), label.copy(), []
+    for i, j in near:
+        count[places[i]] = bags[i][1]
+        while len(j := j[component[j] != component[i]]):
+            take = max(1, int(np.searchsorted(np.cumsum([len(places[k]) for k in j]), COMPARED)))
+            now, j = j[:take], j[take:]
+            where = np.concatenate([places[k] for k in now])
+            starts = np.cumsum([0] + [len(places[k]) for k in now[:-1]])
+            common = np.add.reduceat(np.minimum(count[where], np.concatenate([bags[k][1] for k in now])), starts)
+            for k in now[common / (n[i] + n[now] - common) >= threshold]:
+                if component[k] != component[i]:
+                    a, b = (i, k) if row[i] < row[k] else (k, i)
+                    out.append((int(row[a]), int(row[b]), int(label[a]), int(label[b])))
+                    component[component == component[k]] = component[i]
+        count[places[i]] = 0
+    return out
+
+
+def _closed(
+    crowded: DataFrame, labels: DataFrame, signed: DataFrame, texts: DataFrame, threshold: float, least: float, width: int,
+) -> DataFrame:
+    """a, b, label_a, label_b: the links that the rounds left in crowded buckets."""
+    tiles = stage(_tiles(crowded, labels), "tiles")
+    rows = tiles.select("row").distinct().hint("merge")
+    facts = stage(texts.join(rows, "row").join(signed.select("row", "bands", "sig").hint("merge"), "row"), "open-texts")
+
+    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row")
+        out = tile_links(
+            pdf["row"].to_numpy(), pdf["label"].to_numpy(), pdf["side"].to_numpy(), int(pdf["band"].iloc[0]),
+            np.stack(pdf["bands"].to_numpy()), np.stack(pdf["sig"].to_numpy()), pdf["words"].tolist(), threshold, least, width)
+        return pd.DataFrame(out, columns=["a", "b", "label_a", "label_b"], dtype="int64")
+
+    tile = ["band", "value", "own_a", "part_a", "own_b", "part_b"]
+    return tiles.join(facts.hint("merge"), "row").groupBy(*tile).applyInPandas(
+        linked, "a long, b long, label_a long, label_b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of its connected component, for all nodes of the edges (a, b).
 
@@ -277,6 +397,12 @@ def near_duplicates(
     labels = some.select("row", F.col("row").alias("label"))
     found: list[DataFrame] = []
     tried: list[DataFrame] = []
+
+    def joined(labels: DataFrame, new: DataFrame) -> DataFrame:
+        merged = components(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        both = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+        return stage(both.select("row", F.coalesce("to", "label").alias("label")), "labels")
+
     while True:
         near = stage(_candidates(buckets, labels, sigs, tried, len(found), least), "near")
         new = stage(_linked(near, texts, threshold, width), "links")
@@ -286,9 +412,11 @@ def near_duplicates(
             if len(found) >= MIN_ROUNDS:
                 break
             continue
-        merged = components(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
-        joined = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
-        labels = stage(joined.select("row", F.coalesce("to", "label").alias("label")), "labels")
+        labels = joined(labels, new)
+    new = stage(_closed(_crowded(buckets), labels, signed, texts, threshold, least, width), "closed")
+    found.append(new)
+    if new.count():
+        labels = joined(labels, new)
     links = reduce(DataFrame.union, found)
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     of_rep = equal.join(labels.withColumnRenamed("row", "node"), F.col("rep") == F.col("node"), "left").join(ends, "rep", "left").select(

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with odd rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -93,6 +94,52 @@ def test_near_duplicates_against_brute_force(spark):
     assert bagminhash.drop_near_duplicates(docs_of(spark, texts)).count() == len(classes)
 
 
+def brute_classes(texts):
+    """Classes of (id, text) by all pairs, as sorted lists of ids."""
+    bags = [bagminhash.shingles(hashes(words(t))) for _, t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and bagminhash.similarity(bags[i], bags[j]) >= 0.8:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    out = defaultdict(list)
+    for x, (i, _) in zip(label, texts):
+        out[x].append(i)
+    return sorted(sorted(c) for c in out.values())
+
+
+def classes_of(df):
+    out = defaultdict(list)
+    for r in df.collect():
+        out[r.class_id].append(r.doc_id)
+    return sorted(sorted(c) for c in out.values())
+
+
+def edited(rng, base, n, unique):
+    """``base`` with n words replaced by new ones, far enough from one another to take five shingles each."""
+    new = list(base)
+    for at in rng.sample(range(4, len(base) - 4, 6), n):
+        new[at] = f"x{next(unique)}"
+    return new
+
+
+def crowded_family(rng, unique):
+    """Variants of one template, edited independently: all are similar to two hubs, but not to one another."""
+    base = prose(rng, 200).split()
+    out = [edited(rng, base, n, unique) for n in [1] * 2 + [3] * 400 + [6] * 20]
+    rng.shuffle(out)
+    return [" ".join(x) for x in out]
+
+
+def test_near_duplicates_in_a_crowded_family(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "BLOCK", 64)
+    texts = list(enumerate(crowded_family(random.Random(6), itertools.count())))
+    expected = brute_classes(texts)
+    assert sorted(len(c) for c in expected) == [1] * 20 + [402]
+    assert classes_of(bagminhash.near_duplicates(docs_of(spark, texts))) == expected
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40) if i % 10] + [(100, k) for k in range(101, 160)] + [(5, 5)]
     rng = random.Random(2)
