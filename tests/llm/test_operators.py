@@ -140,6 +140,13 @@ def test_near_duplicates_in_a_crowded_family(spark, monkeypatch):
     assert classes_of(bagminhash.near_duplicates(docs_of(spark, texts))) == expected
 
 
+def test_near_duplicate_classes_do_not_depend_on_the_heads(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "HEADS", 1)
+    monkeypatch.setattr(bagminhash, "LATER_HEADS", 1)
+    texts = list(enumerate(crowded_family(random.Random(5), itertools.count())[:150]))
+    assert classes_of(bagminhash.near_duplicates(docs_of(spark, texts))) == brute_classes(texts)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40) if i % 10] + [(100, k) for k in range(101, 160)] + [(5, 5)]
     rng = random.Random(2)
