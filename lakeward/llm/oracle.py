@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from lakeward.llm import mixing, topk, warc
+from lakeward.llm import hard_negatives, mixing, topk, warc
 from lakeward.llm.queries import FRACTION, LEVELS, WEIGHTS
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -134,10 +134,30 @@ FROM h
 """
 
 
+def hard_negatives_sql() -> str:
+    low, high = hard_negatives.LOW, hard_negatives.HIGH
+    return f"""
+WITH f AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor({hard_negatives.SCALE} * CAST(x AS DOUBLE)) for x in embedding] AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+      FROM f AS a, f AS c WHERE a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES}),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS nth
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT s.same AND {low} * positive_score <= 100 * s.score AND 100 * s.score <= {high} * positive_score)
+SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE nth <= {hard_negatives.NEGATIVES}
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup_sql(),
     "op2_warc_revisits": warc_sql(),
     "op7_line_windows": line_windows_sql(),
     "op8_exact_topk": topk_sql(),
+    "op13_hard_negatives": hard_negatives_sql(),
     "op10_mixing": f"WITH {mixing_sql()}\nSELECT * FROM mixed",
 }

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.llm import bagminhash, bpe, exact_dedup, line_dedup, mixing, pii, secret_ledger, topk, toxicity, warc
+from lakeward.llm import (
+    bagminhash, bpe, exact_dedup, hard_negatives, line_dedup, mixing, pii, secret_ledger, simhash, spelling, topk, toxicity, warc)
 from lakeward.llm.common import shared_dir, table
 from lakeward.llm.spans import joined
 
@@ -149,9 +150,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(with_domain(table(spark, sf_dir, "documents")), LEVELS, FRACTION, WEIGHTS)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents, some of them misspelt by rule, with the form that each is a variant of."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), typo_every=spelling.TYPO_EVERY)
+    return spelling.spelling_variants(words)
+
+
+def op12_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of documents and the components that links of at most four differing bits make."""
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; every seventh vector's label is moved first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_exact_dedup, op2_warc_revisits, op3_contextual_pii, op4_bagminhash, op5_bpe, op6_toxicity, op7_line_windows,
-        op8_exact_topk, op9_secret_ledger, op10_mixing,
+        op8_exact_topk, op9_secret_ledger, op10_mixing, op11_spelling_variants, op12_simhash_variants, op13_hard_negatives,
     )
 }
