@@ -296,10 +296,10 @@ def test_bounds_hold_and_select():
         x = np.concatenate([rng.standard_normal((150, size)), d + rng.standard_normal(d.shape) * 0.01, -d, d * 1e-3])
         made = [hard_negatives.angles_and_norm(v) for v in x]
         angles, norms = np.array([a for a, _ in made]), np.array([n for _, n in made])
-        open_pairs = 0
+        open_pairs, fixed = 0, hard_negatives.fixed_point(x)
         for v, a, n in zip(x, angles, norms):
-            low, high = hard_negatives.bounds(a, n, angles, norms, size)
-            scores = hard_negatives.exact_scores(v, x)
+            low, high = hard_negatives.bounds(a, n, angles.T, norms, size)
+            scores = hard_negatives.exact_scores(hard_negatives.fixed_point(v), fixed, hard_negatives.largest(fixed))
             assert (low <= scores).all() and (scores <= high).all()
             open_pairs += int((high >= 0.9 * n * n).sum())
         assert size < 16 or open_pairs < 0.95 * len(x) ** 2
