@@ -6,14 +6,14 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 * ``full_load``      – land the seven raw tables (fingerprint + stamp +
   key check) and publish every table of a first run (7 CDC tables +
   the order fact), reading the written raw tables back;
-* ``cdc_{0,1,10}pct`` – a second day: fingerprint-guarded landing merge of
-  the new extract into the raw tables, then the incremental run of every
-  table, with about 0 %, 1 % and 10 % of keys new/changed/removed
-  (the first load of each of these is set up untimed);
+* ``cdc_{0,1,10}pct`` – a second day: fingerprint-guarded landing upsert of
+  the new extract into the raw tables, the source's soft deletes, then the
+  incremental run of every table, with about 0 %, 1 % and 10 % of keys
+  new/changed/removed (the first load of each of these is set up untimed);
 * ``contracts``      – all 207 declared tests over the published run;
 * ``az_orders_rebuild`` – full rebuild and write of the order fact.
 
-Everything is written as versioned Parquet under a fresh scratch folder.
+Everything is written as bucketed Parquet tables under a fresh scratch folder.
 Before timing, every step runs once untimed on the sf0.001 tables to warm
 up the JVM and code generation (the first minute of a fresh JVM is several
 times slower than steady state).
@@ -31,16 +31,13 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
 from lakeward.operators.contracts import run_contracts  # noqa: E402
-from lakeward.operators.keys import assert_unique_keys  # noqa: E402
-from lakeward.operators.landing import landing_merge, landing_reload  # noqa: E402
-from lakeward.operators.publish import SnapshotStore  # noqa: E402
+from lakeward.operators.table_store import TableStore  # noqa: E402
 from lakeward.plans.contract_specs import SOURCE_ADDRESSES, SOURCE_CUSTOMERS, declared_tests  # noqa: E402
 from lakeward.plans.models import MODELS, Run  # noqa: E402
-from lakeward.plans.pipeline import RUN_TS, TwoDayPipeline, load_stamp  # noqa: E402
-from lakeward.plans.runner import run_project  # noqa: E402
+from lakeward.plans.pipeline import RUN_TS, TwoDayPipeline  # noqa: E402
+from lakeward.plans.runner import run_project, schema_of  # noqa: E402
+from lakeward.plans.stored import StoredChain  # noqa: E402
 from lakeward.session import get_spark  # noqa: E402
-from lakeward.sources.scenario import mark_soft_deleted  # noqa: E402
-from lakeward.sources.schemas import ENTITIES  # noqa: E402
 
 WARMUP_DIR = "/root/testdata/sf0.001"
 
@@ -52,50 +49,13 @@ RATES = {
 }
 
 
-def _unique(keys):
-    return lambda written: assert_unique_keys(written, keys, "landed table")
-
-
-def land_day1(store: SnapshotStore, p: TwoDayPipeline) -> None:
-    """Full load: stamp each extract and write it; keys are checked on the written copy."""
-    for e, spec in ENTITIES.items():
-        raw = landing_reload(p.extract(e, 1), spec, load_stamp(e, 1), validate_keys=False)
-        store.write(f"raw_{e}", raw, check=_unique(spec.key))
-
-
-def land_day2(store: SnapshotStore, p: TwoDayPipeline) -> None:
-    """Upsert today's extract into the raw tables, then apply source soft deletes.
-
-    The extract's keys are checked by the guard inside the merge join's own
-    shuffle; the current table was checked when it was written, so the
-    merged table is unique without a separate pass.
-    """
-    for e, spec in ENTITIES.items():
-        merged = landing_merge(store.current(f"raw_{e}"), p.extract(e, 2), spec, load_stamp(e, 2))
-        store.write(f"raw_{e}", mark_soft_deleted(merged, spec.key, p.rates["del"]))
-
-
-def first_load(store: SnapshotStore, p: TwoDayPipeline) -> None:
-    """Land day 1 and publish every table.
-
-    The raw keys were checked on the written copies, and staged rows are a
-    filtered projection of them, so the publish does not check them again.
-    """
-    land_day1(store, p)
-    run_project(store, raw_reader(store), RUN_TS[1], validate_keys=False)
-
-
-def raw_reader(store: SnapshotStore):
-    return lambda e: store.current(f"raw_{e}")
-
-
-def contracts_on(store: SnapshotStore) -> None:
+def contracts_on(chain: StoredChain) -> None:
     """All 207 declared tests over a published run (views rebuilt from its raw tables)."""
-    run = Run(raw=raw_reader(store), run_ts=RUN_TS[2], previous=lambda n: None)
-    tables = {name: store.current(name) if info.materialized != "view" else run.ref(name)
+    run = Run(raw=chain.raw, run_ts=RUN_TS[2], previous=lambda n: None)
+    tables = {name: chain.store.current(schema_of(name), name) if info.materialized != "view" else run.ref(name)
               for name, info in MODELS.items()}
-    tables[SOURCE_CUSTOMERS] = store.current("raw_customers")
-    tables[SOURCE_ADDRESSES] = store.current("raw_addresses")
+    tables[SOURCE_CUSTOMERS] = chain.raw("customers")
+    tables[SOURCE_ADDRESSES] = chain.raw("addresses")
     run_contracts(tables, declared_tests()).collect()
 
 
@@ -112,40 +72,31 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="lakeward-bench-", dir="/tmp")
     queries: dict[str, float] = {}
 
+    def chain(name, data, rates=None) -> StoredChain:
+        return StoredChain(TableStore(spark, f"{scratch}/{name}", cpus * 2, prefix=f"{name}_"), TwoDayPipeline(spark, data, rates=rates))
+
     # untimed JVM / code-generation warm-up: every timed step once on the smallest tables
-    warm = SnapshotStore(spark, f"{scratch}/warmup")
-    wp = TwoDayPipeline(spark, WARMUP_DIR)
-    first_load(warm, wp)
-    land_day2(warm, wp)
-    run_project(warm, raw_reader(warm), RUN_TS[2])
+    warm = chain("warmup", WARMUP_DIR)
+    warm.first_day()
+    warm.second_day()
     contracts_on(warm)
 
     # 1. first full load
-    store = SnapshotStore(spark, f"{scratch}/full")
-    p = TwoDayPipeline(spark, sf_dir)
-
-    queries["full_load"] = timed(lambda: first_load(store, p))
+    queries["full_load"] = timed(chain("full", sf_dir).first_day)
 
     # 2. incremental runs at three change rates
-    last_store = None
+    last = None
     for label, rates in RATES.items():
-        s = SnapshotStore(spark, f"{scratch}/{label}")
-        pr = TwoDayPipeline(spark, sf_dir, rates=rates)
-        first_load(s, pr)
-
-        def incremental(s=s, pr=pr):
-            land_day2(s, pr)
-            run_project(s, raw_reader(s), RUN_TS[2])
-
-        queries[label] = timed(incremental)
-        last_store = s
+        last = chain(label, sf_dir, rates)
+        last.first_day()
+        queries[label] = timed(last.second_day)
 
     # 3. contracts over the last published run (views rebuilt from its raw tables)
-    queries["contracts"] = timed(lambda: contracts_on(last_store))
+    queries["contracts"] = timed(lambda: contracts_on(last))
 
     # 4. order fact rebuild
     queries["az_orders_rebuild"] = timed(
-        lambda: run_project(last_store, raw_reader(last_store), RUN_TS[2], select=["az_orders"]))
+        lambda: run_project(last.store, last.raw, RUN_TS[2], select=["az_orders"]))
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({

@@ -34,16 +34,17 @@ from lakeward.operators.landing import (
     rows_affected,
     stamp,
 )
-from lakeward.operators.publish import SnapshotStore, leak_check, table_path
+from lakeward.operators.publish import leak_check, table_path
 from lakeward.operators.staging import live_rows, stage
+from lakeward.operators.table_store import TableStore, bucket_digests
 from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
 
 __all__ = [
-    "DuplicateKeyError", "LoadStamp", "SnapshotStore", "accepted_values", "append_stamp", "apply_changes",
+    "DuplicateKeyError", "LoadStamp", "accepted_values", "append_stamp", "apply_changes",
     "apply_changes_stepwise", "assert_unique_keys", "batch_audit", "change_counts",
     "check_freshness", "classify_changes", "cross_verify", "dedupe_latest", "delete_orphans", "detect_changes",
     "expression_is_true", "freshness", "gate", "guard_unique", "landing_merge", "landing_merge_feed",
     "landing_reload", "leak_check", "left_join_split_nulls", "left_join_spread", "live_rows", "load_summary", "lookup",
     "lookup_by_clear_value", "merge_changes", "not_null", "relationships", "rows_affected", "run_contracts",
-    "stage", "stamp", "sync_columns", "table_path", "tables_per_layer", "unique", "unique_combination",
+    "stage", "stamp", "sync_columns", "table_path", "TableStore", "bucket_digests", "tables_per_layer", "unique", "unique_combination",
 ]

@@ -142,6 +142,7 @@ def apply_changes(
     hash_col: str = RAW_HASH,
     validate_keys: bool = True,
     with_change_type: bool = False,
+    with_deletes: bool = True,
 ) -> DataFrame:
     """New state of a certified table after one incremental run.
 
@@ -153,7 +154,8 @@ def apply_changes(
 
     ``with_change_type`` returns the change feed with whole rows instead: the
     new state with a ``_change_type`` per row, and each target row whose key
-    left the source, with its old values, as ``delete``.
+    left the source, with its old values, as ``delete``; ``with_deletes=False``
+    leaves those out, and the state stays partitioned by its key.
     """
     keys = list(keys)
     if target is None:
@@ -164,7 +166,7 @@ def apply_changes(
     incoming = project(guard_unique(staged, keys, "staged source") if validate_keys else staged)
 
     joined, s_hit, t_hit = presence_join(
-        incoming, target, keys, "s_", "t_", how="full_outer" if with_change_type else "left")
+        incoming, target, keys, "s_", "t_", how="full_outer" if with_change_type and with_deletes else "left")
     take_source = s_hit & (~t_hit | _changed(hash_col))
     target_cols = set(target.columns)
     cols: list[Column] = []

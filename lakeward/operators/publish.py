@@ -1,123 +1,13 @@
-"""Publishing: versioned Parquet snapshots and the PII leak check.
+"""Publishing rules: the PII leak check, excluded tags and layer schemas.
 
-A table lives under ``<base>/<name>/``:
-
-* ``v=<n>-<id>/`` – one complete Parquet copy per write attempt of a version;
-* ``_log/``  – an append-only JSON log, one row per committed version.
-
-A version counts only once its log row is written, and the log row is
-appended after the data write has committed, so a job that dies halfway
-leaves an orphan directory that no reader ever sees.  An incremental run
-reads version *n* and writes *n + 1* to a new path: Spark never overwrites
-the files it is reading, and the write itself cuts the lineage.  All paths
-go through Spark's own readers and writers, so ``base`` may be any shared
-file system the cluster can reach.
+Tables are written by :class:`~lakeward.operators.table_store.TableStore`.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterable, Mapping
-from datetime import UTC, datetime
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("path", T.StringType(), False),
-    T.StructField("committed_at", T.StringType(), False),
-    T.StructField("mode", T.StringType(), False),
-])
-
-
-class SnapshotStore:
-    """Versioned tables under one base path.
-
-    The latest committed version (and the schema this process wrote it
-    with) is remembered per table, so repeated reads within a run do not
-    re-read the log.
-    """
-
-    def __init__(self, spark: SparkSession, base_path: str):
-        self.spark = spark
-        self.base = base_path.rstrip("/")
-        self._known: dict[str, tuple[int, str, T.StructType | None]] = {}
-
-    def _log_path(self, name: str) -> str:
-        return f"{self.base}/{name}/_log"
-
-    def _last_entry(self, name: str):
-        """The newest log row, or None if there is no log; any other storage error is raised."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).json(self._log_path(name))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return log.orderBy(F.col("version").desc()).first()
-
-    def _latest(self, name: str, fresh: bool = False) -> tuple[int, str, T.StructType | None] | None:
-        """``fresh`` reads the log again, so another writer's commits are seen."""
-        known = self._known.get(name)
-        if known and not fresh:
-            return known
-        row = self._last_entry(name)
-        if row is None:
-            return None
-        if not known or known[1] != row["path"]:
-            self._known[name] = (int(row["version"]), row["path"], None)
-        return self._known[name]
-
-    def committed_mode(self, name: str) -> str | None:
-        """The ``mode`` tag recorded with the latest committed version."""
-        row = self._last_entry(name)
-        return row["mode"] if row else None
-
-    def version(self, name: str) -> int | None:
-        latest = self._latest(name)
-        return None if latest is None else latest[0]
-
-    def current(self, name: str) -> DataFrame | None:
-        """The last committed version of ``name``, or None if never published."""
-        latest = self._latest(name)
-        if latest is None:
-            return None
-        _, path, schema = latest
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(path)
-
-    def write(
-        self,
-        name: str,
-        df: DataFrame,
-        partition_by: Iterable[str] = (),
-        mode: str = "full",
-        check: Callable[[DataFrame], None] | None = None,
-    ) -> int:
-        """Write ``df`` as the next version of ``name`` and commit it.
+from collections.abc import Iterable, Mapping
 
-        ``check`` runs on the written copy before the commit (e.g. a key
-        uniqueness test that then reads only the key columns); if it raises,
-        the version is never committed.
-        """
-        latest = self._latest(name, fresh=True)
-        version = 0 if latest is None else latest[0] + 1
-        # each attempt has a folder of its own: what a refused or crashed one left behind is never in the way
-        path = f"{self.base}/{name}/v={version}-{uuid.uuid4().hex[:12]}"
-        writer = df.write.mode("errorifexists")
-        parts = list(partition_by)
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.parquet(path)
-        if check is not None:
-            check(self.spark.read.schema(df.schema).parquet(path))
-        entry = [(version, path, datetime.now(UTC).isoformat(), mode)]
-        self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log_path(name))
-        self._known[name] = (version, path, df.schema)
-        return version
+from pyspark.sql import DataFrame
 
 
 def pii_columns(models: Mapping[str, object]) -> set[str]:

@@ -60,6 +60,7 @@ class ModelInfo:
     contract_status: str | None = None
     pii_vault: str | bool | None = None  # vault holding its clear values, or True for a vault
     never_export: bool = False
+    small: bool = False                # a reference table that one task reads
 
 
 MODELS: dict[str, ModelInfo] = {}
@@ -380,7 +381,7 @@ _META = {
     "az_order_details": {"contract_status": "visado"},
     "az_products": {"contract_status": "visado"},
     "az_employees": {"contract_status": "visado", "pii_vault": "int_pii_vault_employees"},
-    "az_departments": {"contract_status": "visado"},
+    "az_departments": {"contract_status": "visado", "small": True},
     "az_orders": {"contract_status": "visado"},
 }
 for _name, _fields in _META.items():

@@ -32,6 +32,8 @@ from lakeward.plans.contract_specs import (
 )
 from lakeward.plans.models import CDC_MODELS, MODELS, Run
 from lakeward.plans.pipeline import TwoDayPipeline, load_stamp
+from lakeward.plans.runner import schema_of
+from lakeward.plans.stored import StoredChain, scratch_store
 from lakeward.sources.readers import DriverTables
 from lakeward.sources.schemas import ENTITIES
 
@@ -320,6 +322,56 @@ def cdc_typed_feed_customers(spark, sf_dir):
                              validate_keys=run.validate_keys, with_change_type=True)
 
 
+def _stored_chain(spark: SparkSession, sf_dir: str) -> StoredChain:
+    return StoredChain(scratch_store(spark), TwoDayPipeline(spark, sf_dir), unprinted=True)
+
+
+def _chain_query(cert: str) -> Query:
+    entity = CDC_MODELS[cert][1]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        chain = _stored_chain(spark, sf_dir)
+        chain.first_day([entity], [cert])
+        chain.second_day([entity], [cert])
+        return chain.store.current(schema_of(cert), cert)
+
+    q.__doc__ = f"{cert} on written tables: landed in full, upserted, flagged, staged and published by changed buckets."
+    return q
+
+
+def chain_raw_order_details(spark, sf_dir):
+    """The landed order lines after a full load, an upsert by changed buckets and the source's soft deletes."""
+    chain = _stored_chain(spark, sf_dir)
+    chain.land_full("order_details")
+    chain.land_changes("order_details")
+    return chain.raw("order_details")
+
+
+def chain_change_counts(spark, sf_dir):
+    """Rows by change type that the writing jobs of the second day counted, for each certified table."""
+    chain = _stored_chain(spark, sf_dir)
+    chain.first_day(select=list(CDC_MODELS))
+    counts = chain.second_day(select=list(CDC_MODELS))
+    rows = [(m, t, counts[m].get(t, 0)) for m in CDC_MODELS for t in ("insert", "update", "delete")]
+    return spark.createDataFrame(rows, "model string, _change_type string, rows long")
+
+
+def chain_second_run(spark, sf_dir):
+    """Buckets that a further run over the same landed customers and order lines finds changed, of all that they have."""
+    chain = _stored_chain(spark, sf_dir)
+    certs = ["az_customers", "az_order_details"]
+    entities = [CDC_MODELS[c][1] for c in certs]
+    chain.first_day(entities, certs)
+    chain.second_day(entities, certs)
+    rows = []
+    for cert, entity in zip(certs, entities):
+        staged = Run(raw=chain.raw, run_ts=RERUN_TS).ref(CDC_MODELS[cert][0])
+        landed, _ = chain.store.touched(ENTITIES[entity].raw_schema_name, entity, chain.extract(entity, 2), ENTITIES[entity].key)
+        published, digests = chain.store.touched(schema_of(cert), cert, staged, ENTITIES[entity].key)
+        rows.append((cert, len(landed), len(published), sum(n for n, _, _ in digests.values())))
+    return spark.createDataFrame(rows, "model string, landed_buckets long, published_buckets long, rows long")
+
+
 def build_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name in MODELS:
@@ -359,5 +411,10 @@ def build_queries() -> dict[str, Query]:
     q["star_addresses"] = star_addresses
     q["star_orders"] = star_orders
     q["cdc_typed_feed_customers"] = cdc_typed_feed_customers
+    for cert in CDC_MODELS:
+        q[f"chain_{cert}"] = _chain_query(cert)
+    q["chain_raw_order_details"] = chain_raw_order_details
+    q["chain_change_counts"] = chain_change_counts
+    q["chain_second_run"] = chain_second_run
     return q
 

@@ -1,5 +1,5 @@
 """Run (a selection of) the project: build models in dependency order and
-materialize the tables into a :class:`~lakeward.operators.publish.SnapshotStore`.
+write the tables into a :class:`~lakeward.operators.table_store.TableStore`.
 
 Selection mirrors the usual model selectors: a layer or the schema it is
 written to (``staging``, ``intermediate``, ``certified`` or
@@ -19,12 +19,16 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from lakeward.operators.publish import SnapshotStore, excluded, leak_check, pii_columns
-from lakeward.plans.models import MODELS, Run, topological_order
+from lakeward.operators.cdc import apply_changes
+from lakeward.operators.publish import excluded, leak_check, pii_columns
+from lakeward.operators.table_store import TableStore
+from lakeward.plans.models import CDC_MODELS, MODELS, Run, topological_order
+from lakeward.sources.schemas import ENTITIES
 
 
 #: Fixed value: the schema that the certified layer is written to.
 SCHEMA_LAYER = {"azure_fabric": "certified"}
+LAYER_SCHEMA = {layer: schema for schema, layer in SCHEMA_LAYER.items()}
 
 
 def _downstream(name: str) -> set[str]:
@@ -76,24 +80,37 @@ def select_models(select: Iterable[str] | None = None, exclude_tags: Iterable[st
     return [m for m in topological_order(chosen) if not excluded(MODELS[m].tags, exclude_tags)]
 
 
+def schema_of(name: str) -> str:
+    """The schema a model's table is written to: its layer's."""
+    return LAYER_SCHEMA.get(MODELS[name].layer, MODELS[name].layer)
+
+
+def _changed(run: Run, name: str):
+    """The certified state of some staged and published rows, as :meth:`TableStore.upsert` asks for it."""
+    _, entity, project = CDC_MODELS[name]
+    return lambda staged, published: apply_changes(
+        staged, published, ENTITIES[entity].key, project=project(run), validate_keys=run.validate_keys,
+        with_change_type=True, with_deletes=False)
+
+
 def run_project(
-    store: SnapshotStore,
+    store: TableStore,
     raw: Callable[[str], DataFrame],
     run_ts: datetime,
     select: Iterable[str] | None = None,
     exclude_tags: Iterable[str] = ("local_only",),
     full_refresh: bool = False,
     validate_keys: bool = True,
-) -> dict[str, int]:
-    """Build the selected models; write tables; return ``{table: version}``.
+) -> dict[str, dict[str, int]]:
+    """Build the selected models and write their tables, each to its layer's schema.
 
-    Refuses to publish if a written table would carry a clear-text PII
-    column of any model.
+    Returns the rows by change type of each table; a full write inserts all
+    its rows, and an incremental table without changes has none.  Refuses to
+    publish if a written table would carry a clear-text PII column of any model.
     """
-    previous = (lambda name: None) if full_refresh else store.current
-    run = Run(raw=raw, run_ts=run_ts, previous=previous, validate_keys=validate_keys)
+    run = Run(raw=raw, run_ts=run_ts, validate_keys=validate_keys)
     names = select_models(select, exclude_tags)
-    written: dict[str, int] = {}
+    written: dict[str, dict[str, int]] = {}
     pii = pii_columns(MODELS)
     for name in names:
         info = MODELS[name]
@@ -101,11 +118,21 @@ def run_project(
             raise ValueError(f"{name} is declared never_export and cannot be published")
         if info.materialized == "view":
             continue
-        df = run.ref(name)
+        df = run.ref(name)  # as a first load writes it
         leaks = leak_check({name: df}, pii)
         if leaks:
             raise ValueError(f"refusing to publish PII columns: {leaks}")
-        mode = "incremental" if info.materialized == "incremental" and not full_refresh else "full"
-        written[name] = store.write(name, df, mode=mode)
-        run.pin(name, store.current(name))
+        schema = schema_of(name)
+        if info.materialized == "incremental" and not full_refresh and store.current(schema, name) is not None:
+            staged = run.ref(CDC_MODELS[name][0])
+            written[name] = store.upsert(schema, name, staged, info.unique_key, _changed(run, name), mirror=True)
+        else:
+            rows = store.replace(schema, name, df, info.unique_key, buckets=bucket_number(store, name), validate_keys=validate_keys)
+            written[name] = {"insert": rows}
+        run.pin(name, store.current(schema, name))
     return written
+
+
+def bucket_number(store: TableStore, name: str) -> int | None:
+    """Small reference tables take one bucket, the others the store's number."""
+    return 1 if MODELS[name].small else None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -34,3 +35,18 @@ def get_spark(app: str = "lakeward", master: str | None = None, shuffle_partitio
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which driver and executors share.
+
+    Only a local session without one gets a scratch folder.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    scratch = tempfile.mkdtemp(prefix="lakeward-shared-")
+    spark.sparkContext.setCheckpointDir(scratch)
+    return scratch

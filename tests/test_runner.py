@@ -1,49 +1,62 @@
-"""Two runs of the whole project on the smallest driver tables, through the snapshot store."""
+"""Two runs of the whole project on the smallest driver tables, on written tables."""
 
-from lakeward.operators.landing import landing_reload
-from lakeward.operators.publish import SnapshotStore
+from datetime import datetime
+from uuid import uuid4
+
+from pyspark.sql import functions as F
+
+from lakeward.operators.landing import LoadStamp, landing_reload
+from lakeward.operators.table_store import TableStore
 from lakeward.plans.pipeline import RUN_TS, TwoDayPipeline, load_stamp
-from lakeward.plans.runner import run_project
+from lakeward.plans.runner import run_project, schema_of
 from lakeward.sources.schemas import ENTITIES
 
 SF = "/root/testdata/sf0.001"
 
 
+def store_in(spark, folder, buckets=4):
+    return TableStore(spark, folder, buckets, prefix=f"t{uuid4().hex[:8]}_")
+
+
 def test_two_runs_publish_and_preserve_unchanged_rows(spark, scratch):
-    store = SnapshotStore(spark, scratch)
+    store = store_in(spark, scratch)
     p = TwoDayPipeline(spark, SF)
+    raw = lambda e: store.current("raw", e)
     for e, spec in ENTITIES.items():
-        store.write(f"raw_{e}", landing_reload(p.extract(e, 1), spec, load_stamp(e, 1)))
-    first = run_project(store, lambda e: store.current(f"raw_{e}"), RUN_TS[1])
+        store.replace("raw", e, landing_reload(p.extract(e, 1), spec, load_stamp(e, 1)), spec.key)
+    first = run_project(store, raw, RUN_TS[1])
     assert set(first) == {"az_customers", "az_addresses", "az_order_headers", "az_order_details",
                           "az_products", "az_employees", "az_departments", "az_orders"}
-    for e in ENTITIES:
-        store.write(f"raw_{e}", p.raw(e, 2))
-    second = run_project(store, lambda e: store.current(f"raw_{e}"), RUN_TS[2])
-    assert all(v == 1 for v in second.values())
-    cust = store.current("az_customers")
-    expected = p.run(2).ref("az_customers")
-    assert cust.count() == expected.count()
-    assert cust.exceptAll(expected.select(*cust.columns)).count() == 0
-    stamps = {r._dbt_loaded_at for r in cust.select("_dbt_loaded_at").distinct().collect()}
-    assert stamps == {RUN_TS[1], RUN_TS[2]}  # unchanged rows keep the first run's stamp
+    assert all(set(counts) == {"insert"} and counts["insert"] > 0 for counts in first.values())
+    for e, spec in ENTITIES.items():
+        store.replace("raw", e, p.raw(e, 2), spec.key)
+    second = run_project(store, raw, RUN_TS[2])
+    for name in ("az_customers", "az_order_details"):
+        got, expected = store.current("azure_fabric", name), p.run(2).ref(name)
+        assert got.count() == expected.count()
+        assert got.exceptAll(expected.select(*got.columns)).count() == 0
+        stamps = {r._dbt_loaded_at: r["count"] for r in got.groupBy("_dbt_loaded_at").count().collect()}
+        assert set(stamps) == set(RUN_TS.values())  # unchanged rows keep the first run's stamp
+        assert stamps[RUN_TS[2]] == second[name]["insert"] + second[name]["update"]
+        assert second[name]["delete"] == first[name]["insert"] + second[name]["insert"] - got.count()
+    assert schema_of("stg_crm__customers") == "staging" and schema_of("int_orders") == "intermediate"
+    # a third run finds nothing to do in the incremental tables
+    third = run_project(store, raw, datetime(2024, 1, 3))
+    assert [n for n, counts in third.items() if counts] == ["az_orders"]
 
 
 def test_full_refresh_rebuilds_and_incremental_keeps(spark, scratch):
-    from datetime import datetime
-    from lakeward.operators.landing import LoadStamp
-
-    store = SnapshotStore(spark, scratch)
+    store = store_in(spark, scratch)
     src = spark.createDataFrame([(1, "Sales", "Ops"), (2, "HR", "Admin")],
                                 "department_id short, name string, group_name string")
     spec = ENTITIES["departments"]
-    store.write("raw_departments", landing_reload(src, spec, LoadStamp("b1", datetime(2024, 1, 1))))
-    raw = lambda e: store.current(f"raw_{e}")
+    store.replace("raw", "departments", landing_reload(src, spec, LoadStamp("b1", datetime(2024, 1, 1))), spec.key)
+    raw = lambda e: store.current("raw", e)
+    current = lambda: store.current("azure_fabric", "az_departments")
     t1, t2, t3 = datetime(2024, 1, 1, 1), datetime(2024, 1, 2, 1), datetime(2024, 1, 3, 1)
-    assert run_project(store, raw, t1, select=["az_departments"]) == {"az_departments": 0}
-    run_project(store, raw, t2, select=["az_departments"])            # incremental: nothing changed
-    assert {r._dbt_loaded_at for r in store.current("az_departments").collect()} == {t1}
+    assert run_project(store, raw, t1, select=["az_departments"]) == {"az_departments": {"insert": 2}}
+    assert run_project(store, raw, t2, select=["az_departments"]) == {"az_departments": {}}   # nothing changed
+    assert {r._dbt_loaded_at for r in current().collect()} == {t1}
     run_project(store, raw, t3, select=["az_departments"], full_refresh=True)
-    out = store.current("az_departments").collect()
-    assert {r._dbt_loaded_at for r in out} == {t3} and len(out) == 2
-    assert store.version("az_departments") == 2
+    assert {r._dbt_loaded_at for r in current().collect()} == {t3} and current().count() == 2
+    assert current().where(F.col("department_name") == "HR").count() == 1

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from lakeward.functions import pii_hash
 from lakeward.operators.audit import batch_audit, load_summary
-from lakeward.operators.keys import DuplicateKeyError, assert_unique_keys
-from lakeward.operators.publish import SnapshotStore, leak_check, pii_columns
+from lakeward.operators.publish import leak_check, pii_columns
+from lakeward.operators.table_store import TableStore
 from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
 from lakeward.plans.models import MODELS
 from lakeward.plans.runner import select_models
@@ -40,19 +40,6 @@ def test_audits(spark):
     assert got == {"customers": (3, 1), "orders": (2, 2)}
 
 
-def test_snapshot_store_versions_and_failed_check(spark, scratch):
-    store = SnapshotStore(spark, scratch)
-    assert store.current("t") is None
-    assert store.write("t", spark.range(3)) == 0
-    assert store.write("t", spark.range(5)) == 1
-    assert SnapshotStore(spark, scratch).current("t").count() == 5   # fresh reader sees the log
-    dup = spark.createDataFrame([(1,), (1,)], "id long")
-    with pytest.raises(DuplicateKeyError):
-        store.write("t", dup, check=lambda w: assert_unique_keys(w, ["id"]))
-    fresh = SnapshotStore(spark, scratch)
-    assert fresh.version("t") == 1 and fresh.current("t").count() == 5
-
-
 def test_selection():
     assert select_models(["+az_orders"])[-1] == "az_orders"
     assert "int_orders" in select_models(["+az_orders"])
@@ -80,43 +67,7 @@ def test_model_metadata_and_never_export(spark, scratch):
     assert MODELS["az_orders"].contract_status == "visado" and MODELS["az_orders"].pii_free
     vault = MODELS["int_pii_vault_employees"]
     assert vault.access == "restricted" and vault.never_export and "local_only" in vault.tags
-    store = SnapshotStore(spark, scratch)
+    store = TableStore(spark, scratch)
     with pytest.raises(ValueError, match="never_export"):
         run_project(store, lambda e: None, datetime(2024, 1, 1), select=["int_pii_vault_customers"],
                     exclude_tags=())
-
-
-def test_refused_and_half_written_versions_do_not_block_the_next(spark, scratch):
-    import os
-
-    import pytest
-    from lakeward.operators.publish import SnapshotStore
-
-    store = SnapshotStore(spark, scratch)
-    df = spark.range(3)
-
-    def refuse(_):
-        raise AssertionError("refused")
-
-    with pytest.raises(AssertionError):
-        store.write("t", df, check=refuse)
-    os.makedirs(f"{scratch}/t/v=0", exist_ok=True)
-    assert store.current("t") is None
-    assert store.write("t", df) == 0
-    other = SnapshotStore(spark, scratch)
-    assert other.write("t", spark.range(5)) == 1
-    assert store.write("t", spark.range(7)) == 2  # sees the other writer's commit
-    assert SnapshotStore(spark, scratch).current("t").count() == 7
-
-
-def test_other_storage_errors_are_raised(spark, scratch):
-    import os
-
-    import pytest
-    from lakeward.operators.publish import SnapshotStore
-
-    os.makedirs(f"{scratch}/t/_log")
-    with open(f"{scratch}/t/_log/part-0.json.gz", "wb") as f:
-        f.write(b"not a gzip file")
-    with pytest.raises(Exception):
-        SnapshotStore(spark, scratch).current("t")

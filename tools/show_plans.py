@@ -19,11 +19,11 @@ sys.path.insert(0, HERE)
 
 from lakeward.operators.contracts import run_contracts  # noqa: E402
 from lakeward.operators.landing import landing_reload  # noqa: E402
-from lakeward.operators.publish import SnapshotStore  # noqa: E402
+from lakeward.operators.table_store import TableStore  # noqa: E402
 from lakeward.plans.contract_specs import declared_tests  # noqa: E402
 from lakeward.plans.models import Run  # noqa: E402
 from lakeward.plans.pipeline import RUN_TS, TwoDayPipeline, load_stamp  # noqa: E402
-from lakeward.plans.runner import run_project  # noqa: E402
+from lakeward.plans.runner import run_project, schema_of  # noqa: E402
 from lakeward.session import get_spark  # noqa: E402
 from lakeward.sources.schemas import ENTITIES  # noqa: E402
 
@@ -46,23 +46,24 @@ def skeleton(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     spark = get_spark("lakeward-plans", master="local[4]")
-    store = SnapshotStore(spark, tempfile.mkdtemp(prefix="lakeward-plans-", dir="/tmp"))
+    store = TableStore(spark, tempfile.mkdtemp(prefix="lakeward-plans-", dir="/tmp"), 64)
     p = TwoDayPipeline(spark, sf_dir)
     for e, spec in ENTITIES.items():
-        store.write(f"raw_{e}", landing_reload(p.extract(e, 1), spec, load_stamp(e, 1)))
-    run_project(store, lambda e: store.current(f"raw_{e}"), RUN_TS[1])
-    for e in ENTITIES:
-        store.write(f"raw_{e}", p.raw(e, 2))
+        store.replace(spec.raw_schema_name, e, landing_reload(p.extract(e, 1), spec, load_stamp(e, 1)), spec.key)
+    raw = lambda e: store.current(ENTITIES[e].raw_schema_name, e)
+    run_project(store, raw, RUN_TS[1])
+    for e, spec in ENTITIES.items():
+        store.replace(spec.raw_schema_name, e, p.raw(e, 2), spec.key)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    run = Run(raw=lambda e: store.current(f"raw_{e}"), run_ts=RUN_TS[2], previous=store.current)
+    run = Run(raw=raw, run_ts=RUN_TS[2], previous=lambda name: store.current(schema_of(name), name))
     shown = {
         "az_order_details (incremental CDC apply, composite key)": run.ref("az_order_details"),
         "int_customers (two latest-row dedupes + left join)": run.ref("int_customers"),
         "int_orders (headers x customer keys, then x lines)": run.ref("int_orders"),
         "stg_crm__customers (soft-delete filter pushed to Parquet)": run.ref("stg_crm__customers"),
         "contracts of az_customers (one scan aggregate + one grouping-sets pass for its unique tests)": run_contracts(
-            {"az_customers": store.current("az_customers")},
+            {"az_customers": store.current("azure_fabric", "az_customers")},
             [t for t in declared_tests() if t.model == "az_customers"]),
     }
     print("# Physical plans at scale\n")
