@@ -16,6 +16,7 @@ give a row; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import mmap
@@ -25,6 +26,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -35,9 +37,14 @@ from pyspark.sql import functions as F
 from lakeward.llm.common import stage, text_or_empty
 
 LEXICON_WORDS = 32_768
-#: Word pieces between blanks that a worker remembers, and words that a task counts before it passes them on.
-MEMO = 200_000
+#: Words, and pieces of text between blanks, that a worker remembers in each of two generations.
+WORD_MEMO, PIECE_MEMO = 250_000, 150_000
+#: Word pieces that a task counts before it passes them on.
 COUNT_FLUSH = 300_000
+#: Longer words are not put into the lexicon (they are merged like any other unseen word), so its size is bounded.
+LONGEST = 256
+#: Longer words are merged by a heap.
+SHORT = 48
 #: What the tokenizer file's format fixes: how words are found, and the mark of a word's end.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
@@ -68,8 +75,26 @@ class Vocabulary:
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of a word: of all neighbouring pairs the one with the lowest rank, then leftmost, merges first."""
-        parts: list[str | None] = [self.chars[b] for b in word]
+        parts = [self.chars[b] for b in word]
         parts[-1] += END
+        return [self.ids[p] for p in (self._merged_short(parts) if len(parts) <= SHORT else self._merged_long(parts))]
+
+    def _merged_short(self, parts: list[str]) -> list[str]:
+        """By looking at all ranks for each merge."""
+        rank, none = self.merges.get, len(self.merges)
+        ranks = list(map(rank, zip(parts, parts[1:]), repeat(none)))
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            parts[i:i + 2] = (parts[i] + parts[i + 1],)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+        return parts
+
+    def _merged_long(self, parts: list[str | None]) -> list[str]:
+        """By a heap of pairs."""
         right, left = [*range(1, len(parts)), -1], [-1, *range(len(parts) - 1)]
         heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := self.merges.get((a, b))) is not None]
         heapq.heapify(heap)
@@ -84,7 +109,7 @@ class Vocabulary:
             for k in (left[i], i):
                 if k >= 0 and right[k] >= 0 and (r := self.merges.get((parts[k], parts[right[k]]))) is not None:
                     heapq.heappush(heap, (r, k, parts[k], parts[right[k]]))
-        return [self.ids[p] for p in parts if p is not None]
+        return [p for p in parts if p is not None]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens of ``ids`` joined by spaces: the file names no decoder."""
@@ -218,29 +243,44 @@ class Transducer:
         return out
 
 
+class _Recent(dict):
+    """Values by key: of those used lately ``limit`` to twice as many are remembered, others are made again."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.before = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
-    """Encodes whole texts: pieces that it remembers, words of the lexicon, exact merges, in this order."""
+    """Encodes whole texts: pieces and words that it remembers, words of the lexicon, exact merges, in this order."""
 
     def __init__(self, vocabulary: Vocabulary, transducer: Transducer | None = None):
         self.vocabulary, self.transducer = vocabulary, transducer
-        self.memo: dict[str, bytes] = {}
+        self.words, self.pieces = _Recent(self._word, WORD_MEMO), _Recent(self._piece, PIECE_MEMO)
 
     def word(self, word: bytes) -> list[int]:
         found = self.transducer.get(word) if self.transducer else None
         return self.vocabulary.merged(word) if found is None else found
 
+    def _word(self, word: str) -> bytes:
+        ids = self.word(word.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _piece(self, piece: str) -> bytes:
-        ids: list[int] = []
-        for w in WORD.findall(piece):
-            ids += self.word(w.encode())
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        out = self.memo[piece] = np.array(ids, "<u4").tobytes()
-        return out
+        return b"".join(map(self.words.__getitem__, WORD.findall(piece)))
 
     def _plain(self, text: str) -> bytes:
-        known, make = self.memo.get, self._piece
-        return b"".join([known(p) or make(p) for p in _pieces(normalised(text))])
+        return b"".join(map(self.pieces.__getitem__, _pieces(normalised(text))))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; added tokens in the text are found first."""
@@ -294,7 +334,7 @@ def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS, text_col: str = "tex
         least, taken = r["size"], taken + r["count"]
     if least is None:
         return []
-    return [r["word"] for r in counts.where(size >= least).select("word").collect()]
+    return [r["word"] for r in counts.where((size >= least) & (F.length("word") <= LONGEST)).select("word").collect()]
 
 
 def build_lexicon(vocabulary: Vocabulary, words: Iterable[str]) -> bytes:
@@ -302,6 +342,18 @@ def build_lexicon(vocabulary: Vocabulary, words: Iterable[str]) -> bytes:
     return compile_transducer((w.encode(), vocabulary.merged(w.encode())) for w in words if w)
 
 
+#: A worker process' last encoder, which its next task with the same files takes over with all it remembers.
+_kept: dict[bytes, Encoder] = {}
+
+
+def _worker_encoder(file: str, compiled: bytes) -> Encoder:
+    key = hashlib.sha256(file.encode() + compiled).digest()
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = Encoder(Vocabulary(file), Transducer(compiled))
+    return _kept[key]
+
+
 def encode(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS,
 ) -> DataFrame:
@@ -313,12 +365,10 @@ def encode(
     shared = docs.sparkSession.sparkContext.broadcast((raw, lexicon))
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        file, compiled = shared.value
-        vocabulary = Vocabulary(file)
-        encoder = Encoder(vocabulary, Transducer(compiled))
+        encoder = _worker_encoder(*shared.value)
         for pdf in batches:
             ids = [encoder.encode(t) for t in pdf["text"]]
-            decoded = [vocabulary.decode(memoryview(x).cast("I")) for x in ids]
+            decoded = [encoder.vocabulary.decode(memoryview(x).cast("I")) for x in ids]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": ids, "decoded": decoded})
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
