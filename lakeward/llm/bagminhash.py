@@ -17,25 +17,23 @@ components, so a signature costs about as many points as the text has
 shingles, not that many times the signature's length.
 
 Texts with equal words are one class from the start.  Signatures are cut into
-bands; texts that agree in a band share a bucket.  In each round, every bucket
-has a few heads (the first of its texts in hashed orders that change with the
-round), and one member of each component that the bucket meets is a candidate
-for the heads outside that component (at first each text is a component).  Of
-the candidates in one other component a text is compared with the one whose
-signature agrees most, by the multisets themselves, and no pair is compared
-twice; components are joined by the links, and rounds go on until one finds no
-link.  So a round's work grows with the members of the buckets, never with
-their squares: a group of any size soon becomes a few components by way of its
-heads.
-
-The rounds only spare work.  What they leave is then closed exactly: in every
-bucket that still holds several components and was too large for its first
-heads to meet all pairs, every pair of texts of different components is
-compared, in tiles of two blocks of texts, so that no task holds a whole
-bucket and no pair becomes a row.  A pair that shares several bands is looked
-at in the first of them only.  So the classes do not depend on which heads
-were drawn nor on when the rounds ended; the work of this step grows with the
-pairs of texts of different components in such buckets.
+bands; texts that agree in a band share a bucket.  Buckets are dealt and sorted,
+and each task scans its buckets twice.  The first scan sees signatures only: two
+texts are candidates if they agree in enough components, have lengths that allow
+the similarity, and share no earlier band, so a pair is a candidate in one bucket
+only.  It keeps the texts that have a candidate, in groups that candidates
+connect.  Their words are then fetched, and the second scan compares the
+multisets themselves.  Both scans follow links from text to text: what is linked to the
+first text leaves the rest of the group, then what is linked to those, so a
+family of copies costs about its length, and a pair is compared only as long as
+its texts are not joined by other links.  All pairs that share a bucket are
+settled this way, and no pair becomes a row; the links' connected components are
+the classes.
+
+A bucket of more texts than a block is cut into tiles of two blocks, so no task
+holds a whole bucket; a text then travels once for each tile and band where it
+has a candidate.  The work of a crowded bucket grows with the pairs of texts that are candidates and
+stay apart.
 
 Defined results: words are runs of letters and digits, in lower case; a text
 of fewer words than a shingle has one shingle of all its words; NULL text counts as empty,
@@ -48,14 +46,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import rows_of, stage, text_or_empty
+from lakeward.llm.graph import components
 from lakeward.llm.words import hashes, mixed, words
 
 SHINGLE = 5
@@ -64,10 +62,7 @@ BANDS, ROWS = 24, 5
 #: Pairs whose signatures agree in fewer components are not compared: with a
 #: similarity of 0.8 that happens once in about 10^8 pairs (six standard deviations).
 SLACK_SD = 6.0
-#: Heads of a bucket in the first round and in later ones, which have few components left to join, and rounds at least.
-HEADS, LATER_HEADS = 3, 8
-MIN_ROUNDS = 2
-#: Texts of a block and shingles that are compared at once when crowded buckets are closed.
+#: Texts of a block, and shingles that are compared at once.
 BLOCK, COMPARED = 512, 2_000_000
 #: Shingles whose points are drawn at once in a task.
 AT_ONCE = 300_000
@@ -131,7 +126,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.ndarr
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, width: int) -> DataFrame:
-    """row, doc_id, sha, same (hash of the words), bands (array of long), sig (array of short), words."""
+    """row, doc_id, sha, same (hash of the words), size (shingles), bands (array of long), sig (array of short), words."""
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
         text_or_empty(text_col).alias("text"),
@@ -147,6 +142,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
             return pd.DataFrame({
                 "row": part["row"].to_numpy(), "doc_id": part["doc_id"].astype("Int64").array, "sha": part["sha"].to_numpy(),
                 "same": [hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in found],
+                "size": [int(b[1].sum()) for b in bags],
                 "bands": list(band.view(np.int64)), "sig": list((sig >> np.uint64(48)).astype(np.uint16).view(np.int16)),
                 "words": found,
             })
@@ -165,214 +161,139 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int,
                 yield out(pdf.iloc[start:], found, bags)
 
     return texts.mapInPandas(
-        signed, "row long, doc_id long, sha string, same binary, bands array<long>, sig array<short>, words string")
-
-
-def _turn(round_no: int, k: int) -> Column:
-    """The hash whose order gives a bucket's k-th head in a round."""
-    return F.xxhash64("row", F.lit(round_no), F.lit(k))
-
-
-def _candidates(
-    buckets: DataFrame, labels: DataFrame, sigs: DataFrame, tried: list[DataFrame], round_no: int, least: float,
-) -> DataFrame:
-    """a, b, label_a, label_b (a < b): of each text's pairs with heads of another component the one that agrees most.
-
-    Pairs that an earlier round compared do not come again.
-    """
-    owned = stage(buckets.join(labels, "row"), f"owned-{round_no}")
-    first = lambda k: F.min(F.struct(
-        _turn(round_no, k).alias("h"), F.col("row").alias("head"), F.col("label").alias("head_label")))
-    heads = owned.groupBy("band", "value").agg(
-        F.array_distinct(F.array(*[first(k) for k in range(LATER_HEADS if round_no else HEADS)])).alias("heads"),
-        F.min("label").alias("low"), F.max("label").alias("high"),
-    ).where("low != high").select("band", "value", F.transform(
-        "heads", lambda h: F.struct(h["head"].alias("head"), h["head_label"].alias("head_label"))).alias("heads"))
-    heads = stage(heads, f"heads-{round_no}")
-    if round_no:
-        # one text of each component meets a bucket's heads, another one in each round
-        turn = F.struct(_turn(round_no, -1).alias("h"), "row")
-        owned = stage(owned.groupBy("band", "value", "label").agg(F.min(turn).alias("turn")).select(
-            "band", "value", "label", "turn.row"), f"members-{round_no}")
-    met = owned.join(heads, ["band", "value"]).select("row", "label", F.inline("heads")).where("label != head_label")
-    lower = F.col("row") < F.col("head")
-    pairs = met.select(
-        F.least("row", "head").alias("a"), F.greatest("row", "head").alias("b"),
-        F.when(lower, F.col("label")).otherwise(F.col("head_label")).alias("label_a"),
-        F.when(lower, F.col("head_label")).otherwise(F.col("label")).alias("label_b"),
-    ).groupBy("a", "b").agg(F.min("label_a").alias("label_a"), F.min("label_b").alias("label_b"))  # a text has one label
-    if tried:
-        pairs = pairs.join(reduce(DataFrame.union, [t.select("a", "b") for t in tried]), ["a", "b"], "left_anti")
-    near = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
-    agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    near = near.select("a", "b", "label_a", "label_b", agree.alias("agree")).where(F.col("agree") >= least)
-    best = near.groupBy("a", "label_a", "label_b").agg(F.max(F.struct("agree", "b")).alias("best"))
-    return best.select("a", F.col("best.b").alias("b"), "label_a", "label_b")
-
-
-def _linked(near: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Of the pairs (a, b, label_a, label_b) those whose multisets are similar enough."""
-    both = near.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
-
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-        def bag(row: int, text: str):
-            if row not in memo:
-                if len(memo) >= 64:
-                    memo.pop(next(iter(memo)))
-                memo[row] = shingles(hashes(text.split()), width)
-            return memo[row]
-
-        for pdf in batches:
-            keep = [
-                similarity(bag(a, x), bag(b, y)) >= threshold
-                for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["words_a"], pdf["words_b"])
-            ]
-            yield pdf.loc[keep, ["a", "b", "label_a", "label_b"]]
-
-    return both.select("a", "b", "label_a", "label_b", "words_a", "words_b").mapInPandas(
-        verified, "a long, b long, label_a long, label_b long")
-
-
-def _crowded(buckets: DataFrame) -> DataFrame:
-    """The rows of the buckets that hold pairs without a head of the first round, which compared all pairs with one."""
-    heads = F.array_distinct(F.array(*[F.min(F.struct(_turn(0, k).alias("h"), "row"))["row"] for k in range(HEADS)]))
-    large = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.size(heads).alias("heads"))
-    large = stage(large.where("n > heads + 1").select("band", "value"), "large")
-    return stage(buckets.join(large.hint("merge"), ["band", "value"]), "crowded")
-
-
-def _tiles(crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """row, label, band, side and the tile (value, own_a, part_a, own_b, part_b) of all texts whose pairs are not all tried.
-
-    A bucket's larger components have blocks of their own, the others share
-    blocks; a tile is two blocks (or a shared one alone) that can hold
-    different components.
-    """
-    owned = stage(crowded.join(labels, "row"), "open")
-    place = ["band", "value"]
-    sizes = owned.groupBy(*place, "label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.withColumn("own", F.when(F.col("n") * 2 > BLOCK, F.col("label")).otherwise(F.lit(-1).cast("long")))
-    sizes = stage(sizes, "sizes")
-    mixed_ones = sizes.groupBy(*place).agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select(*place)
-    blocks = stage(sizes.join(mixed_ones, place).groupBy(*place, "own").agg(
-        F.ceil(F.sum("n") / BLOCK).cast("long").alias("parts")), "blocks")
-    each = blocks.select(*place, "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    a = each.select(*place, F.col("own").alias("own_a"), F.col("part").alias("part_a"))
-    b = each.select(*place, F.col("own").alias("own_b"), F.col("part").alias("part_b"))
-    shared = F.col("own_a") == -1
-    tiles = a.join(b, place).where(
-        (F.col("own_a") < F.col("own_b")) | (shared & (F.col("own_b") == -1) & (F.col("part_a") <= F.col("part_b"))))
-    alone = (F.col("own_a") == F.col("own_b")) & (F.col("part_a") == F.col("part_b"))
-    side = lambda k, x: F.struct(F.lit(k).alias("side"), F.col(f"own_{x}").alias("own"), F.col(f"part_{x}").alias("part"))
-    halves = stage(tiles.select("*", F.inline(F.when(alone, F.array(side(0, "a"))).otherwise(
-        F.array(side(0, "a"), side(1, "b"))))), "halves")
-    # a shared block holds a component as a whole, one of a large component some of its texts
-    rows = owned.join(sizes.select(*place, "label", "own"), [*place, "label"]).join(blocks, [*place, "own"]).withColumn(
-        "part", F.pmod(F.xxhash64(F.when(F.col("own") == -1, F.col("label")).otherwise(F.col("row"))), F.col("parts"))).drop("parts")
-    return rows.join(halves, [*place, "own", "part"]).drop("own", "part")
-
-
-def tile_links(
-    row: np.ndarray, label: np.ndarray, side: np.ndarray, band: int, bands: np.ndarray, sig: np.ndarray,
-    found: list[str], threshold: float, least: float, width: int,
-) -> list[tuple[int, int, int, int]]:
-    """a, b, label_a, label_b (a < b): links that join all components which a similar pair of the tile joins.
-
-    Pairs lie between the two sides, or within the one side there is, and
-    share ``band`` as their first band.
-    """
-    two, near = bool(side.any()), []
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == int(two))
-    n = np.array([max(1, x.count(" ") + 2 - width) for x in found])
-    for i in left:
-        j = right if two else right[right > i]
-        j = j[(label[j] != label[i]) & (np.minimum(n[j], n[i]) / np.maximum(n[j], n[i]) >= threshold)]
-        j = j[(bands[j] == bands[i]).argmax(axis=1) == band]
-        agree = (sig[j] == sig[i]).sum(axis=1)
-        j = j[agree >= least][np.argsort(-agree[agree >= least], kind="stable")]
-        if len(j):
-            near.append((i, j))
-    if not near:
-        return []
-    wanted = np.unique(np.concatenate([np.append(j, i) for i, j in near]))
-    bags = {k: shingles(hashes(found[k].split()), width) for k in wanted}
-    keys, at = np.unique(np.concatenate([bags[k][0] for k in wanted]), return_inverse=True)
-    ends = np.cumsum([len(bags[k][0]) for k in wanted])
-    places = dict(zip(wanted, np.split(at, ends[:-1])))
-    count, component, out = np.zeros(len(keys), np.int64), label.copy(), []
-    for i, j in near:
-        count[places[i]] = bags[i][1]
-        while len(j := j[component[j] != component[i]]):
-            take = max(1, int(np.searchsorted(np.cumsum([len(places[k]) for k in j]), COMPARED)))
+        signed, "row long, doc_id long, sha string, same binary, size long, bands array<long>, sig array<short>, words string")
+
+
+class _Texts:
+    """The texts of one run of a tile: which pairs of them are candidates, and which are similar."""
+
+    def __init__(self, run: pd.DataFrame, threshold: float, least: float):
+        self.row, self.side, self.size = (run[c].to_numpy() for c in ("row", "side", "size"))
+        self.bands, self.sig = np.stack(run["bands"].to_list()), np.stack(run["sig"].to_list())
+        self.band, self.two = int(run["band"].iloc[0]), run["a"].iloc[0] != run["b"].iloc[0]
+        self.threshold, self.least = threshold, least
+
+    def candidates(self, i: int, rest: np.ndarray) -> np.ndarray:
+        """Those of ``rest`` that may be similar to text ``i`` and share this band as their first one with it."""
+        if self.two:
+            rest = rest[self.side[rest] != self.side[i]]
+        n = self.size[rest]
+        rest = rest[np.minimum(n, self.size[i]) >= self.threshold * np.maximum(n, self.size[i])]
+        rest = rest[(self.sig[rest] == self.sig[i]).sum(axis=1) >= self.least]
+        return rest[(self.bands[rest] == self.bands[i]).argmax(axis=1) == self.band]
+
+    def with_words(self, found: list[str], width: int) -> _Texts:
+        bags = [shingles(hashes(x.split()), width) for x in found]
+        self.keys, at = np.unique(np.concatenate([b[0] for b in bags]), return_inverse=True)
+        self.places = np.split(at, np.cumsum([len(b[0]) for b in bags])[:-1])
+        self.counts = [b[1] for b in bags]
+        return self
+
+    def similar(self, i: int, rest: np.ndarray) -> np.ndarray:
+        """The candidates in ``rest`` whose multisets are similar enough to that of text ``i``."""
+        j, out = self.candidates(i, rest), []
+        if not len(j):
+            return j
+        count = np.zeros(len(self.keys), np.int64)
+        count[self.places[i]] = self.counts[i]
+        while len(j):
+            take = max(1, int(np.searchsorted(np.cumsum([len(self.places[k]) for k in j]), COMPARED)))
             now, j = j[:take], j[take:]
-            where = np.concatenate([places[k] for k in now])
-            starts = np.cumsum([0] + [len(places[k]) for k in now[:-1]])
-            common = np.add.reduceat(np.minimum(count[where], np.concatenate([bags[k][1] for k in now])), starts)
-            for k in now[common / (n[i] + n[now] - common) >= threshold]:
-                if component[k] != component[i]:
-                    a, b = (i, k) if row[i] < row[k] else (k, i)
-                    out.append((int(row[a]), int(row[b]), int(label[a]), int(label[b])))
-                    component[component == component[k]] = component[i]
-        count[places[i]] = 0
+            where = np.concatenate([self.places[k] for k in now])
+            starts = np.cumsum([0] + [len(self.places[k]) for k in now[:-1]])
+            common = np.add.reduceat(np.minimum(count[where], np.concatenate([self.counts[k] for k in now])), starts)
+            out.append(now[common >= self.threshold * (self.size[i] + self.size[now] - common)])
+        return np.concatenate(out)
+
+
+def forest(n: int, linked) -> list[tuple[int, int]]:
+    """A spanning forest of places 0 .. n - 1, where ``linked(i, rest)`` gives the places of ``rest`` that i has a link to."""
+    rest, out = np.arange(n), []
+    while len(rest) > 1:
+        todo, rest = [int(rest[0])], rest[1:]
+        while todo and len(rest):
+            i = todo.pop()
+            found = linked(i, rest)
+            if len(found):
+                rest = np.setdiff1d(rest, found, assume_unique=True)
+                out += [(i, int(j)) for j in found]
+                todo += found.tolist()
     return out
 
 
-def _closed(
-    crowded: DataFrame, labels: DataFrame, signed: DataFrame, texts: DataFrame, threshold: float, least: float, width: int,
-) -> DataFrame:
-    """a, b, label_a, label_b: the links that the rounds left in crowded buckets."""
-    tiles = stage(_tiles(crowded, labels), "tiles")
-    rows = tiles.select("row").distinct().hint("merge")
-    facts = stage(texts.join(rows, "row").join(signed.select("row", "bands", "sig").hint("merge"), "row"), "open-texts")
-
-    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        out = tile_links(
-            pdf["row"].to_numpy(), pdf["label"].to_numpy(), pdf["side"].to_numpy(), int(pdf["band"].iloc[0]),
-            np.stack(pdf["bands"].to_numpy()), np.stack(pdf["sig"].to_numpy()), pdf["words"].tolist(), threshold, least, width)
-        return pd.DataFrame(out, columns=["a", "b", "label_a", "label_b"], dtype="int64")
-
-    tile = ["band", "value", "own_a", "part_a", "own_b", "part_b"]
-    return tiles.join(facts.hint("merge"), "row").groupBy(*tile).applyInPandas(
-        linked, "a long, b long, label_a long, label_b long")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node, label: the smallest node of its connected component, for all nodes of the edges (a, b).
-
-    Alternates the large-star and small-star steps on written tables until all
-    edges form stars: no node has two smaller neighbours, and none is both the
-    larger end of an edge and the smaller end of another.  Minima are taken
-    map-side before they are joined back.
-    """
-    def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges if not large else edges.union(edges.select("b", "a"))
-        # small: each node (the larger end) with its smaller neighbours
-        least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
-        out = both.join(least, "a")
-        if large:
-            out = out.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = out.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        return out.where("a != b").distinct()
-
-    edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    while True:
-        edges = stage(star(star(edges, True), False), "stars")
-        ends = edges.select(F.inline(F.array(
-            F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))))
-        ups = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
-        if ups.where("up > 1 or (up = 1 and least = 0)").count() == 0:
-            break
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
+def whole_runs(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Each run of equal ``by`` of sorted batches, in one piece."""
+    rest: list[pd.DataFrame] = []  # of one run, which may go on
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        keys = [pdf[c].to_numpy() for c in by]
+        starts = np.flatnonzero(np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])))
+        if rest and tuple(rest[0][c].iloc[0] for c in by) != tuple(k[0] for k in keys):
+            yield pd.concat(rest)
+            rest = []
+        for at, to in zip(starts, [*starts[1:], len(pdf)]):
+            rest.append(pdf.iloc[at:to])
+            if to < len(pdf):
+                yield pd.concat(rest) if len(rest) > 1 else rest[0]
+                rest = []
+    if rest:
+        yield pd.concat(rest)
+
+
+TILE = ["band", "value", "a", "b"]
+FACTS = "size long, bands array<long>, sig array<short>"
+
+
+def _tiles(buckets: DataFrame, block: int) -> DataFrame:
+    """band, value, a, b (the tile), side, row: every text of a bucket of several, in each tile of its block."""
+    shared = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # what is looked up grows with the corpus, so it is never broadcast
+    rows = buckets.join(stage(shared, "shared").hint("merge"), ["band", "value"])
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("row"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.select("band", "value", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+                       (F.col("own") > F.col("other")).cast("int").alias("side"), "row")
+
+
+def _with_candidates(tiles: DataFrame, threshold: float, least: float) -> DataFrame:
+    """The rows that have a candidate in their tile, with the first row of the group that candidates connect."""
+
+    def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in whole_runs(batches, TILE):
+            if len(run) < 2 or run["a"].iloc[0] != run["b"].iloc[0] and run["side"].nunique() < 2:
+                continue
+            texts, group = _Texts(run, threshold, least), np.full(len(run), -1)
+            for i, j in forest(len(run), texts.candidates):
+                if group[i] < 0:
+                    group[i] = i  # trees are given from their root on
+                group[j] = group[i]
+            if (group >= 0).any():
+                yield run.assign(leader=texts.row[np.maximum(group, 0)])[group >= 0]
+
+    dealt = tiles.repartition(*TILE).sortWithinPartitions(*TILE)
+    return dealt.mapInPandas(scanned, f"band int, value long, a int, b int, side int, row long, {FACTS}, leader long")
+
+
+def _links(rows: DataFrame, threshold: float, least: float, width: int) -> DataFrame:
+    """a, b: links that join all texts which similar pairs of a tile's groups join."""
+    group = [*TILE, "leader"]
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in whole_runs(batches, group):
+            texts = _Texts(run, threshold, least).with_words(run["words"].to_list(), width)
+            found = forest(len(run), texts.similar)
+            if found:
+                i, j = np.array(found).T
+                yield pd.DataFrame({"a": texts.row[i], "b": texts.row[j]})
+
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInPandas(linked, "a long, b long")
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
-    bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE,
+    bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, block: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the class), class_size, kept, n_links, raw_sha256.
 
@@ -385,41 +306,18 @@ def near_duplicates(
     rep_rows = equal.select(F.col("rep").alias("row"))
     # joined before the bands become rows
     banded = signed.select("row", "bands").join(rep_rows, "row").select("row", F.posexplode("bands").alias("band", "value"))
-    buckets = stage(banded, "banded")
-    shared = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # buckets of one text play no further part; what is looked up grows with the corpus, so it is never broadcast
-    buckets = stage(buckets.join(stage(shared, "shared").hint("merge"), ["band", "value"]), "buckets")
-    some = stage(buckets.select("row").distinct(), "some")
-    sigs = stage(signed.select("row", "sig").join(some.hint("merge"), "row"), "sigs")
-    texts = stage(signed.select("row", "words").join(some.hint("merge"), "row"), "texts")
-    size = bands * rows
-    least = threshold * size - SLACK_SD * (size * threshold * (1 - threshold)) ** 0.5
-    labels = some.select("row", F.col("row").alias("label"))
-    found: list[DataFrame] = []
-    tried: list[DataFrame] = []
-
-    def joined(labels: DataFrame, new: DataFrame) -> DataFrame:
-        merged = components(new.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
-        both = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
-        return stage(both.select("row", F.coalesce("to", "label").alias("label")), "labels")
-
-    while True:
-        near = stage(_candidates(buckets, labels, sigs, tried, len(found), least), "near")
-        new = stage(_linked(near, texts, threshold, width), "links")
-        tried.append(near)
-        found.append(new)
-        if new.count() == 0:
-            if len(found) >= MIN_ROUNDS:
-                break
-            continue
-        labels = joined(labels, new)
-    new = stage(_closed(_crowded(buckets), labels, signed, texts, threshold, least, width), "closed")
-    found.append(new)
-    if new.count():
-        labels = joined(labels, new)
-    links = reduce(DataFrame.union, found)
+    tiles = stage(_tiles(stage(banded, "banded"), block or BLOCK), "tiles")
+    some = stage(tiles.select("row").distinct(), "some")
+    facts = stage(signed.select("row", "size", "bands", "sig").join(some.hint("merge"), "row"), "facts")
+    n = bands * rows
+    least = threshold * n - SLACK_SD * (n * threshold * (1 - threshold)) ** 0.5
+    near = stage(_with_candidates(tiles.join(facts.hint("merge"), "row").select(*TILE, "side", "row", "size", "bands", "sig"),
+                                  threshold, least), "near")
+    texts = signed.select("row", "words").join(near.select("row").distinct().hint("merge"), "row")
+    links = stage(_links(near.join(stage(texts, "texts").hint("merge"), "row"), threshold, least, width), "links")
+    labels = stage(components(links), "labels")
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    of_rep = equal.join(labels.withColumnRenamed("row", "node"), F.col("rep") == F.col("node"), "left").join(ends, "rep", "left").select(
+    of_rep = equal.join(labels, F.col("rep") == F.col("node"), "left").join(ends, "rep", "left").select(
         "same", F.coalesce("label", "rep").alias("label"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     members = stage(signed.select("row", "doc_id", "sha", "same").join(stage(of_rep, "of_rep"), "same"), "members")
     classes = stage(members.groupBy("label").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("class_size")), "classes")

@@ -8,10 +8,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lakeward.llm import bagminhash, bpe, exact_dedup, line_dedup, mixing, pii, secret_ledger, topk, toxicity, warc
+from lakeward.llm import bagminhash, bpe, exact_dedup, graph, line_dedup, mixing, pii, secret_ledger, topk, toxicity, warc
 from lakeward.llm.words import hashes, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, sha string, node string, rep string"
@@ -140,18 +141,27 @@ def test_near_duplicates_in_a_crowded_family(spark, monkeypatch):
     assert classes_of(bagminhash.near_duplicates(docs_of(spark, texts))) == expected
 
 
-def test_near_duplicate_classes_do_not_depend_on_the_heads(spark, monkeypatch):
-    monkeypatch.setattr(bagminhash, "HEADS", 1)
-    monkeypatch.setattr(bagminhash, "LATER_HEADS", 1)
+@pytest.mark.parametrize("block", [16, 1000])
+def test_near_duplicate_classes_do_not_depend_on_the_blocks(spark, block):
     texts = list(enumerate(crowded_family(random.Random(5), itertools.count())[:150]))
-    assert classes_of(bagminhash.near_duplicates(docs_of(spark, texts))) == brute_classes(texts)
+    assert classes_of(bagminhash.near_duplicates(docs_of(spark, texts), block=block)) == brute_classes(texts)
+
+
+def test_whole_runs_over_batches():
+    rng = random.Random(1)
+    frame = pd.DataFrame(sorted((rng.randrange(4), rng.randrange(3), k) for k in range(60)), columns=["x", "y", "k"])
+    for cuts in ([], [7], list(range(1, 60)), [20, 20, 41]):
+        batches = [frame.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, 60])]
+        runs = list(bagminhash.whole_runs(iter(batches), ["x", "y"]))
+        assert pd.concat(runs)["k"].tolist() == frame["k"].tolist()
+        assert [tuple(r[["x", "y"]].iloc[0]) for r in runs] == sorted(set(zip(frame["x"], frame["y"])))
 
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40) if i % 10] + [(100, k) for k in range(101, 160)] + [(5, 5)]
     rng = random.Random(2)
     edges = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges]
-    got = dict(bagminhash.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    got = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: (i - 1) // 10 * 10 + 1 for i in range(1, 41)}, **{k: 100 for k in range(100, 160)}}
 
 
