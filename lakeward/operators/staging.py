@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.functions.time import ntz
+from lakeward.operators.lineage import personal
 from lakeward.sources.schemas import IS_DELETED, LINEAGE, LOADED_AT, EntitySpec
 
 
@@ -28,10 +29,10 @@ def stage(raw: DataFrame, spec: EntitySpec, run_ts: datetime) -> DataFrame:
     """Typed projection of the live rows of one raw table.
 
     Varchar widths truncate, numbers narrow with ANSI overflow checks, and
-    the lineage columns pass through untouched.
+    the lineage columns pass through untouched.  Personal fields are marked.
     """
     return live_rows(raw).select(
-        *[f.staged() for f in spec.fields],
+        *[personal(f.staged(), f.name) if f.name in spec.pii else f.staged() for f in spec.fields],
         *[F.col(c) for c in LINEAGE],
         loaded_at(run_ts),
     )

@@ -31,6 +31,7 @@ from lakeward.functions.text import clean_lower, clean_upper, date_text
 from lakeward.operators.cdc import apply_changes
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.joins import left_join_spread
+from lakeward.operators.lineage import hashed
 from lakeward.operators.staging import loaded_at, stage
 from lakeward.sources.schemas import (
     BATCH_ID,
@@ -104,7 +105,9 @@ class Run:
 # staging
 # ---------------------------------------------------------------------------
 
-def _staging(model_name: str, entity: str, pii=()):
+def _staging(model_name: str, entity: str):
+    pii = ENTITIES[entity].pii
+
     @model(model_name, "staging", "view", pii_fields=pii, pii_free=not pii,
            unique_key=ENTITIES[entity].key)
     def build(run: Run) -> DataFrame:
@@ -113,13 +116,12 @@ def _staging(model_name: str, entity: str, pii=()):
     return build
 
 
-stg_crm__customers = _staging("stg_crm__customers", "customers", ("name", "email_address", "phone"))
-stg_crm__addresses = _staging("stg_crm__addresses", "addresses", ("address_line1", "address_line2"))
+stg_crm__customers = _staging("stg_crm__customers", "customers")
+stg_crm__addresses = _staging("stg_crm__addresses", "addresses")
 stg_erp__order_headers = _staging("stg_erp__order_headers", "order_headers")
 stg_erp__order_details = _staging("stg_erp__order_details", "order_details")
 stg_erp__products = _staging("stg_erp__products", "products")
-stg_hr__employees = _staging("stg_hr__employees", "employees",
-                             ("national_id_number", "login_id", "birth_date"))
+stg_hr__employees = _staging("stg_hr__employees", "employees")
 stg_hr__departments = _staging("stg_hr__departments", "departments")
 
 
@@ -157,9 +159,9 @@ def int_customers(run: Run) -> DataFrame:
         surrogate_key(["customer_id"]).alias("customer_sk"),
         "customer_id", "person_id", "store_id", "territory_id", "account_number",
         "full_name", "email_address", "phone",
-        pii_hash("full_name").alias("full_name_hash"),
-        pii_hash("email_address").alias("email_address_hash"),
-        pii_hash("phone").alias("phone_hash"),
+        hashed(pii_hash("full_name"), "full_name_hash", "full_name"),
+        hashed(pii_hash("email_address"), "email_address_hash", "email_address"),
+        hashed(pii_hash("phone"), "phone_hash", "phone"),
         *ADDRESS_COLS, INGESTED_AT, SOURCE_SYSTEM, PIPELINE_NAME, BATCH_ID,
         loaded_at(run.run_ts),
     )
@@ -171,9 +173,9 @@ EMPLOYEE_WORK = ["job_title", "marital_status", "gender", "hire_date", "salaried
 
 def _employee_hashes():
     return [
-        pii_hash("national_id_number").alias("national_id_hash"),
-        pii_hash("login_id").alias("login_id_hash"),
-        pii_hash(date_text("birth_date")).alias("birth_date_hash"),
+        hashed(pii_hash("national_id_number"), "national_id_hash", "national_id_number"),
+        hashed(pii_hash("login_id"), "login_id_hash", "login_id"),
+        hashed(pii_hash(date_text("birth_date")), "birth_date_hash", "birth_date"),
     ]
 
 
@@ -237,9 +239,9 @@ def int_pii_vault_customers(run: Run) -> DataFrame:
     return run.ref("stg_crm__customers").select(
         surrogate_key(["customer_id"]).alias("customer_sk"),
         "customer_id", "account_number", "name", "email_address", "phone",
-        pii_hash("name").alias("full_name_hash"),
-        pii_hash("email_address").alias("email_address_hash"),
-        pii_hash("phone").alias("phone_hash"),
+        hashed(pii_hash("name"), "full_name_hash", "name"),
+        hashed(pii_hash("email_address"), "email_address_hash", "email_address"),
+        hashed(pii_hash("phone"), "phone_hash", "phone"),
         INGESTED_AT, SOURCE_SYSTEM, "_dbt_loaded_at",
     )
 
@@ -270,9 +272,9 @@ def az_customers_project(run: Run) -> Callable[[DataFrame], DataFrame]:
         s, run,
         surrogate_key(["customer_id"]).alias("customer_sk"),
         "customer_id", "person_id", "store_id", "territory_id", "account_number",
-        pii_hash("name").alias("full_name_hash"),
-        pii_hash("email_address").alias("email_address_hash"),
-        pii_hash("phone").alias("phone_hash"),
+        hashed(pii_hash("name"), "full_name_hash", "name"),
+        hashed(pii_hash("email_address"), "email_address_hash", "email_address"),
+        hashed(pii_hash("phone"), "phone_hash", "phone"),
     )
 
 
@@ -281,8 +283,8 @@ def az_addresses_project(run: Run) -> Callable[[DataFrame], DataFrame]:
         s, run,
         "address_id", "customer_id", surrogate_key(["customer_id"]).alias("customer_sk"),
         "state_province_id",
-        pii_hash("address_line1").alias("address_line1_hash"),
-        pii_hash("address_line2").alias("address_line2_hash"),
+        hashed(pii_hash("address_line1"), "address_line1_hash", "address_line1"),
+        hashed(pii_hash("address_line2"), "address_line2_hash", "address_line2"),
         "city", "postal_code", "country_region",
     )
 

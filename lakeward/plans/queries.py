@@ -23,6 +23,7 @@ from lakeward.operators.contracts import run_contracts
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness
 from lakeward.operators.landing import append_stamp, landing_reload, rows_affected
+from lakeward.operators.lineage import value_leaks
 from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
 from lakeward.plans.contract_specs import (
     SOURCE_ADDRESSES,
@@ -372,6 +373,18 @@ def chain_second_run(spark, sf_dir):
     return spark.createDataFrame(rows, "model string, landed_buckets long, published_buckets long, rows long")
 
 
+def leak_scan(spark, sf_dir):
+    """Different values of the published text columns that are clear values of the vaults or of staged addresses: none may be."""
+    run = _pipe(spark, sf_dir).run(2)
+    customers, employees = run.ref("int_pii_vault_customers"), run.ref("int_pii_vault_employees")
+    addresses = run.ref("stg_crm__addresses")
+    parts = [
+        value_leaks({m: run.ref(m) for m in ("az_customers", "az_orders")}, ["name", "email_address", "phone"], customers),
+        value_leaks({"az_employees": run.ref("az_employees")}, ["national_id_number", "login_id"], employees),
+        value_leaks({"az_addresses": run.ref("az_addresses")}, ["address_line1", "address_line2"], addresses)]
+    return union_all(parts)
+
+
 def build_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name in MODELS:
@@ -416,5 +429,6 @@ def build_queries() -> dict[str, Query]:
     q["chain_raw_order_details"] = chain_raw_order_details
     q["chain_change_counts"] = chain_change_counts
     q["chain_second_run"] = chain_second_run
+    q["leak_scan"] = leak_scan
     return q
 

@@ -20,6 +20,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from lakeward.operators.cdc import apply_changes
+from lakeward.operators.lineage import clear_columns
 from lakeward.operators.publish import excluded, leak_check, pii_columns
 from lakeward.operators.table_store import TableStore
 from lakeward.plans.models import CDC_MODELS, MODELS, Run, topological_order
@@ -106,7 +107,8 @@ def run_project(
 
     Returns the rows by change type of each table; a full write inserts all
     its rows, and an incremental table without changes has none.  Refuses to
-    publish if a written table would carry a clear-text PII column of any model.
+    publish if a written table would carry a clear-text PII column of any model,
+    by its name or by where its values come from.
     """
     run = Run(raw=raw, run_ts=run_ts, validate_keys=validate_keys)
     names = select_models(select, exclude_tags)
@@ -119,7 +121,7 @@ def run_project(
         if info.materialized == "view":
             continue
         df = run.ref(name)  # as a first load writes it
-        leaks = leak_check({name: df}, pii)
+        leaks = leak_check({name: df}, pii) or [(name, c) for c in clear_columns(df)]
         if leaks:
             raise ValueError(f"refusing to publish PII columns: {leaks}")
         schema = schema_of(name)

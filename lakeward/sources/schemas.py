@@ -92,6 +92,7 @@ class EntitySpec:
     update_columns: tuple[str, ...]  # payload a landing upsert may overwrite
     freshness_warn_days: int = 1
     freshness_error_days: int = 3
+    pii: tuple[str, ...] = ()      # clear-text personal fields
     extra: dict = field(default_factory=dict)
 
     @property
@@ -131,6 +132,7 @@ CUSTOMERS = EntitySpec(
     fingerprint_encoding="UTF-16LE",
     update_columns=("person_id", "store_id", "territory_id", "account_number", "name",
                     "email_address", "phone"),
+    pii=("name", "email_address", "phone"),
 )
 
 ADDRESSES = EntitySpec(
@@ -146,6 +148,7 @@ ADDRESSES = EntitySpec(
     fingerprint_encoding="UTF-16LE",
     update_columns=("customer_id", "address_line1", "address_line2", "city",
                     "state_province_id", "postal_code", "country_region"),
+    pii=("address_line1", "address_line2"),
 )
 
 ORDER_HEADERS = EntitySpec(
@@ -210,6 +213,7 @@ EMPLOYEES = EntitySpec(
     fingerprint=("business_entity_id", "national_id_number", "job_title", "hire_date"),
     fingerprint_encoding="UTF-16LE",
     update_columns=("job_title", "vacation_hours", "sick_leave_hours"),
+    pii=("national_id_number", "login_id", "birth_date"),
 )
 
 DEPARTMENTS = EntitySpec(
