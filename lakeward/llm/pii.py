@@ -3,17 +3,22 @@
 1. Seeds: e-mail addresses, IP addresses, card and phone numbers by pattern.
 2. Every identifier (a seed, or another word-like run that holds a digit or
    an @, or a number in groups that blanks or brackets part) is an instance.
-   Its pattern is its lexical context, the words just before it, whatever the
-   instance's shape.  Occurrences of patterns with instances make a weighted graph.
-3. For each kind, a pattern scores the share of that kind in its different
-   seeds; what is no seed says nothing for or against a pattern, however often
-   it occurs.  An instance scores the mean of its patterns' scores, each
-   pattern counted once.  So one pass gives the final scores.
-4. Patterns with a high score and enough different seeds are trusted.  An
-   instance that is no seed and that scores high is a new identifier of that
-   kind wherever it stands after a trusted pattern, if it can be one: e-mail
-   addresses hold an @, the others six digits and no @, and numbers in groups
-   are cards or phones.
+   Its patterns are its lexical contexts, the one word and the two words just
+   before it and just after it, whatever the instance's shape.  Patterns and
+   instances make a graph.
+3. The graph is scored in rounds.  For each kind, a pattern scores the share of
+   that kind in its different known instances; what is not known says nothing for
+   or against a pattern, however often it occurs.  A pattern's weight is its
+   largest score, so a word that follows all kinds hardly counts.  An unknown
+   instance scores the weighted mean of its patterns' scores.
+4. Patterns with a high score and enough different known instances are trusted.  An
+   unknown instance with a high score and a trusted pattern is known from then on
+   as one of that kind, if it can be one: e-mail addresses hold an @, the others six
+   digits and no @, and numbers in groups are cards or phones.  So it lends weight
+   to its other patterns in the next round.  Rounds go on until one finds no
+   further instance; each adds some or ends, so they do end.
+5. Found spans are the places where an instance that became known stands in a
+   trusted context of its kind.
 
 Base spans are never changed; found ones are added.
 
@@ -41,12 +46,14 @@ IP = "(?<![0-9])[0-9]++(?:\\.[0-9]++){3}"
 CARD = "[0-9](?:[\\x20-]?[0-9])++"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 #: Any other identifier: a run without blanks and common delimiters that holds a digit or an @.
-IDENTIFIER = "(?<![^\\s\"'<>()\\[\\]{},;|])[^\\s\"'<>()\\[\\]{},;|0-9@]{0,64}+[0-9@][^\\s\"'<>()\\[\\]{},;|]*+"
+IDENTIFIER = "(?<![^\\s\"'<>()\\[\\]{},;|])[^\\s\"'<>()\\[\\]{},;|0-9@]*+[0-9@][^\\s\"'<>()\\[\\]{},;|]*+"
 #: A number whose groups of digits are parted by blanks or brackets too, as cards and phones may be.
 GROUPED = "(?<![^\\s\"'<>()\\[\\]{},;|])\\(?[0-9][\\x20()./0-9-]*[0-9](?![^\\s\"'<>()\\[\\]{},;|])"
 
-CONTEXT_CHARS = 64
-CONTEXT = "(\\p{L}++[^\\p{L}0-9]{1,3}\\p{L}++)[^\\p{L}0-9]{0,3}$"
+#: How far a context's words are looked for; longer ones are no words.
+CONTEXT_CHARS = 256
+BEFORE = ("(\\p{L}++)[^\\p{L}0-9]{0,3}$", "(\\p{L}++[^\\p{L}0-9]{1,3}\\p{L}++)[^\\p{L}0-9]{0,3}$")
+AFTER = ("^[^\\p{L}0-9]{0,3}(\\p{L}++)", "^[^\\p{L}0-9]{0,3}(\\p{L}++[^\\p{L}0-9]{1,3}\\p{L}++)")
 MIN_SEEDS = 5
 MIN_PATTERN = 0.9
 MIN_INSTANCE = 0.8
@@ -86,11 +93,11 @@ def _kept(kind: str, m: Column) -> Column:
 def _seeds(kind: str, order: int) -> Column:
     return F.transform(F.filter(kind, lambda x: _kept(kind, x["m"])), lambda x: F.struct(
         F.lit(order).alias("ord"), x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind"),
-        x["m"].alias("m"), x["c"].alias("c")))
+        x["m"].alias("m"), x["c"].alias("c"), x["r"].alias("r")))
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, base (array of ord, s, e, kind, m, c) and other (array of s, e, m, c): identifiers apart from them."""
+    """row, doc_id, base (array of ord, s, e, kind, m, c, r) and other (array of s, e, m, c, r): identifiers apart from them."""
     df = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
         text_or_empty(text_col).alias("text"),
@@ -113,56 +120,74 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _occurrences(df: DataFrame) -> DataFrame:
-    """row, s, e, kind (NULL if no seed), instance, pattern: identifiers that have a lexical context."""
+    """row, s, e, kind (NULL if no seed), instance, pattern: identifiers with each of their lexical contexts."""
 
     def node(x: Column, kind: Column) -> Column:
+        contexts = [F.concat(F.lit(f"{side}{n}:"), F.nullif(F.lower(F.regexp_extract(x[part], pattern, 1)), F.lit("")))
+                    for side, part, both in (("<", "c", BEFORE), (">", "r", AFTER)) for n, pattern in enumerate(both, 1)]
         return F.struct(x["s"].alias("s"), x["e"].alias("e"), kind.alias("kind"), F.lower(x["m"]).alias("instance"),
-                        F.lower(F.regexp_extract(x["c"], CONTEXT, 1)).alias("words"))
+                        F.filter(F.array(*contexts), lambda c: c.isNotNull()).alias("contexts"))
 
     seeds = F.transform("base", lambda x: node(x, x["kind"]))
     others = F.transform("other", lambda x: node(x, F.lit(None).cast("string")))
-    return (
-        df.select("row", F.inline(F.concat(seeds, others)))
-        .where("words != ''")
-        .select("row", "s", "e", "kind", "instance", F.col("words").alias("pattern"))
-    )
+    return df.select("row", F.inline(F.concat(seeds, others))).select(
+        "row", "s", "e", "kind", "instance", F.explode("contexts").alias("pattern"))
+
+
+def _can_be(kind: str) -> Column:
+    """Whether an instance without a fixed pattern can be of the kind."""
+    sign = F.col("instance").contains("@")
+    if kind == "email":
+        return sign
+    enough = ~sign & (F.length(_digits(F.col("instance"))) >= MIN_DIGITS)
+    return enough if kind in ("card", "phone") else enough & ~F.col("instance").rlike("[\\x20()]")
 
 
-def trusted(
+def bootstrapped(
     occurrences: DataFrame, min_seeds: int = MIN_SEEDS, min_pattern: float = MIN_PATTERN, min_instance: float = MIN_INSTANCE,
 ) -> tuple[DataFrame, DataFrame]:
-    """Trusted (pattern, kind) and high-scoring new (instance, kind) of the pattern-instance graph."""
-    edges = stage(occurrences.groupBy("pattern", "instance").agg(F.collect_set("kind").alias("kinds")), "edges")
-    seeds = edges.where(F.size("kinds") > 0)
-    of_all = seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("all"))
-    of_kind = seeds.select("pattern", F.explode("kinds").alias("of")).groupBy("pattern", "of").agg(F.count(F.lit(1)).alias("seeds"))
-    patterns = stage(of_kind.join(of_all, "pattern").select(
-        "pattern", "of", "seeds", (F.col("seeds") / F.col("all")).alias("p_score")), "patterns")
-    scores = edges.where(F.size("kinds") == 0).join(patterns, "pattern")
-    # a pattern with seeds of other kinds only counts as 0 for this one
-    met = edges.where(F.size("kinds") == 0).join(of_all, "pattern").groupBy("instance").agg(F.count(F.lit(1)).alias("met"))
-    scores = scores.groupBy("instance", "of").agg(F.sum("p_score").alias("total")).join(stage(met, "met"), "instance")
-    scores = stage(scores.select("instance", "of", (F.col("total") / F.col("met")).alias("i_score")), "instances")
-    good = patterns.where((F.col("p_score") >= min_pattern) & (F.col("seeds") >= min_seeds)).select("pattern", "of")
-    new = scores.where(F.col("i_score") >= min_instance).select("instance", "of")
-    return good, new
+    """Trusted (pattern, of) and found (instance, of) once no round finds any more."""
+    edges = stage(occurrences.select("pattern", "instance").distinct(), "edges")
+    known = stage(occurrences.where("kind is not null").select("instance", F.col("kind").alias("of")).distinct(), "known")
+    found = known.limit(0)
+    able = F.lit(False)
+    for kind in KINDS:
+        able = able | _can_be(kind)
+    unknown = stage(edges.where(able).join(known.select("instance").distinct(), "instance", "left_anti"), "unknown")
+    shares = [F.col(f"p_{k}") for k in KINDS]
+    while True:
+        counts = edges.join(known, "instance").groupBy("pattern").agg(
+            *[F.count_if(F.col("of") == k).alias(f"n_{k}") for k in KINDS], F.count(F.lit(1)).alias("n"))
+        patterns = counts.select("pattern", "n", *[(F.col(f"n_{k}") / F.col("n")).alias(f"p_{k}") for k in KINDS])
+        patterns = stage(patterns.withColumn("weight", F.greatest(*shares)), "patterns")
+        trusted = lambda k: (F.col(f"p_{k}") >= min_pattern) & (F.col("n") >= min_seeds)
+        scores = unknown.join(patterns, "pattern").groupBy("instance").agg(*[
+            c for k in KINDS for c in ((F.sum(F.col("weight") * F.col(f"p_{k}")) / F.sum("weight")).alias(f"s_{k}"),
+                                       F.bool_or(trusted(k)).alias(f"t_{k}"))])
+        options = [F.when(F.col(f"t_{k}") & (F.col(f"s_{k}") >= min_instance) & _can_be(k),
+                          F.struct(F.col(f"s_{k}").alias("score"), F.lit(-i).alias("order"), F.lit(k).alias("of")))
+                   for i, k in enumerate(KINDS)]
+        new = stage(scores.select("instance", F.array_max(F.array(*options)).alias("best")).where("best is not null").select(
+            "instance", "best.of"), "new")
+        if new.isEmpty():
+            good = F.array(*[F.when(trusted(k), F.lit(k)) for k in KINDS])
+            return patterns.select("pattern", F.explode(F.filter(good, lambda k: k.isNotNull())).alias("of")), found
+        found, known = stage(found.union(new), "found"), stage(known.union(new), "known")
+        unknown = stage(unknown.join(new.select("instance"), "instance", "left_anti"), "unknown")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """One row per row of ``docs``: doc_id, base, added (arrays of ord, s, e, kind).
 
-    ``limits`` are those of :func:`trusted`.
+    ``limits`` are those of :func:`bootstrapped`.
     """
     found = stage(base_spans(docs, id_col, text_col), "base")
     occurrences = stage(_occurrences(found), "occurrences")
-    good, new = trusted(occurrences, **limits)
+    good, new = bootstrapped(occurrences, **limits)
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("of")).cast("int") - 1
-    sign, grouped = F.col("instance").contains("@"), F.col("instance").rlike("[\\x20()]")
-    enough = F.when(F.col("of") == "email", sign).otherwise(
-        ~sign & (F.length(_digits(F.col("instance"))) >= MIN_DIGITS) & (~grouped | F.col("of").isin("card", "phone")))
     hits = (
         occurrences.where("kind is null")
-        .join(good, "pattern").join(new, ["instance", "of"]).where(enough)
+        .join(stage(good, "trusted"), "pattern").join(new, ["instance", "of"])
         .groupBy("row").agg(F.collect_set(F.struct(order.alias("ord"), "s", "e", F.col("of").alias("kind"))).alias("added"))
     )
     none = F.array().cast("array<struct<ord:int,s:int,e:int,kind:string>>")

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 #: stays far from the square of the number of matches in one text.
 BLOCK = 512
 
-SPAN_TYPE = "array<struct<s:int,e:int,m:string,c:string>>"
+SPAN_TYPE = "array<struct<s:int,e:int,m:string,c:string,r:string>>"
 
 
 def with_spans(df: DataFrame, name: str, text: Column, pattern: str, context: int = 0) -> DataFrame:
-    """``df`` with an array column ``name`` of (s, e, m, c) for each match.
+    """``df`` with an array column ``name`` of (s, e, m, c, r) for each match.
 
     Start, exclusive end, the matched text, and up to ``context`` characters
-    before it, back to the match before at most.
+    before and after it, as far as the next match on that side at most.
 
     ``pattern`` must not match the empty string and must have no effect
     beyond its match (``split`` and ``regexp_extract_all`` then agree).
@@ -31,11 +31,12 @@ def with_spans(df: DataFrame, name: str, text: Column, pattern: str, context: in
     df = df.withColumn(t, text)
     matches = F.regexp_extract_all(F.col(t), F.lit(pattern), F.lit(0))
     gaps = F.split(F.col(t), pattern, -1)
-    df = df.withColumn(g, F.filter(
-        F.zip_with(gaps, matches, lambda p, m: F.struct(
-            F.length(p).alias("gap"), m.alias("m"), (F.right(p, F.lit(context)) if context else F.lit("")).alias("c"))),
-        lambda x: x["m"].isNotNull(),
-    )).drop(t)
+    found = F.zip_with(gaps, matches, lambda p, m: F.struct(
+        F.length(p).alias("gap"), m.alias("m"), (F.right(p, F.lit(context)) if context else F.lit("")).alias("c")))
+    if context:  # what follows a match is the next gap
+        found = F.zip_with(found, F.slice(gaps, F.lit(2), F.size(matches)), lambda x, after: F.struct(
+            x["gap"].alias("gap"), x["m"].alias("m"), x["c"].alias("c"), F.left(after, F.lit(context)).alias("r")))
+    df = df.withColumn(g, F.filter(found, lambda x: x["m"].isNotNull())).drop(t)
     blocks = F.when(F.size(g) > 0, F.transform(
         F.sequence(F.lit(0), F.floor((F.size(g) - 1) / BLOCK).cast("int")),
         lambda i: F.slice(F.col(g), i * BLOCK + 1, BLOCK),
@@ -55,6 +56,7 @@ def with_spans(df: DataFrame, name: str, text: Column, pattern: str, context: in
                 (acc["at"] + x["gap"] + F.length(x["m"])).alias("e"),
                 x["m"].alias("m"),
                 x["c"].alias("c"),
+                (x["r"] if context else F.lit("")).alias("r"),
             )).alias("out"),
         ))["out"]
 
