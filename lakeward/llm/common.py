@@ -55,8 +55,7 @@ def rows_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, once
     """
     key = lambda c: F.coalesce(F.col(c).cast("long").cast("string"), F.lit("-"))
     mine = docs.withColumns({"__key": key(id_col), "__sha": F.sha2(text_or_empty(text_col), 256)})
+    if once:  # collapsed map-side, and on the join's own partitioning
+        mine = mine.dropDuplicates(["__key", "__sha"])
     theirs = chosen.select(key("doc_id").alias("__key"), F.col("sha").alias("__sha"))
-    out = mine.join(theirs, ["__key", "__sha"], "left_semi")
-    if once:  # on the join's own partitioning
-        out = out.dropDuplicates(["__key", "__sha"])
-    return out.drop("__key", "__sha")
+    return mine.join(theirs, ["__key", "__sha"], "left_semi").drop("__key", "__sha")

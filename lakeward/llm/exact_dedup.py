@@ -105,16 +105,15 @@ KEY = ["n_bytes", "f0", "f1"]
 
 def _different(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataFrame:
     """doc_id, sha of the texts in ``rows`` that differ in a chunk from their group's first text."""
+    # copies of a row (same id and text) are one, on both sides and before any chunk is cut
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-")).alias("key")
     pairs = rows.where((F.col("size") > 1) & (F.col("row") != F.col("rep.row")))
-    members = pairs.select("doc_id", "sha", F.col("rep.row").alias("rep"))
-    firsts = pairs.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.sha").alias("sha"), F.col("rep.row").alias("rep"))
+    members = pairs.select(key("doc_id"), "doc_id", "sha", F.col("rep.row").alias("rep"))
+    firsts = pairs.select(key("rep.doc_id"), F.col("rep.doc_id").alias("doc_id"), F.col("rep.sha").alias("sha"), F.col("rep.row").alias("rep"))
     wanted = members.withColumn("is_rep", F.lit(False)).union(firsts.withColumn("is_rep", F.lit(True))).distinct()
-    b, w = _bodies(docs, id_col, text_col).alias("b"), wanted.alias("w")
-    # copies of a row (same id and text) give the same chunks; any of them will do
-    texts = b.join(w, F.col("b.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("b.sha") == F.col("w.sha")))
-    chunks = stage(
-        _with_chunks(texts.select("b.doc_id", "b.sha", "w.rep", "w.is_rep", "b.body"), chunk_bytes), "chunks"
-    )
+    bodies = _bodies(docs, id_col, text_col).select(key("doc_id"), "sha", "body").dropDuplicates(["key", "sha"])
+    texts = bodies.join(wanted, ["key", "sha"])
+    chunks = stage(_with_chunks(texts.select("doc_id", "sha", "rep", "is_rep", "body"), chunk_bytes), "chunks")
     of_rep = chunks.where("is_rep").select("rep", "no", F.col("chunk").alias("rep_chunk"))
     both = chunks.where("not is_rep").join(of_rep, ["rep", "no"], "left")
     return both.where(~F.col("chunk").eqNullSafe(F.col("rep_chunk"))).select("doc_id", "sha").distinct()

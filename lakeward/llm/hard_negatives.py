@@ -30,6 +30,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,7 @@ ANCHOR_BLOCK, SHARD_ROWS = 4096, 4096
 HIT = "anchor_id long, vec_id long, score long, cut_off string"
 
 
+@lru_cache(maxsize=8)
 def directions(size: int, n: int = REFERENCES, seed: int = SEED) -> np.ndarray:
     """The fixed reference directions for vectors of ``size`` components: at most ``n``, perpendicular to each other."""
     if not size:

@@ -134,6 +134,33 @@ FROM h
 """
 
 
+def secret_ledger_sql() -> str:
+    """Places of all matches by the lengths of what lies between them; letters in either case are spelt out."""
+    either = lambda word: "".join(f"[{c.upper()}{c}]" for c in word)
+    names = "|".join([*map(either, ("password", "passwd", "secret", "token")), either("api") + "_?" + either("key")])
+    rules = {
+        "assign": (f"({names})[\"\'\']?\\x20*[:=]\\x20*[\"\'\']?([A-Za-z0-9+/_.=-]+)", 2, 8),
+        "access": ("AKIA[A-Z0-9]+", 0, 16), "hex": ("[0-9a-f]+", 0, 32)}
+    out = ["WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)"]
+    for kind, (pattern, group, least) in rules.items():
+        out.append(f"""{kind} AS (
+            SELECT r, s, s + length(m) AS e, '{kind}' AS kind FROM (
+              SELECT r, ms[i] AS m, ps[i] AS p, CAST(coalesce(list_sum([length(x) for x in gs[1:i]]), 0)
+                     + coalesce(list_sum([length(x) for x in ms[1:i - 1]]), 0) AS BIGINT) AS s
+              FROM (SELECT r, gs, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
+                SELECT r, regexp_split_to_array(t, '{pattern}') AS gs, regexp_extract_all(t, '{pattern}') AS ms,
+                       regexp_extract_all(t, '{pattern}', {group}) AS ps FROM d)))
+            WHERE length(p) >= {least})""")
+    union = " UNION ALL ".join(f"SELECT *, {i} AS o FROM {kind}" for i, kind in enumerate(rules))
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in rules)
+    out.append(f"""found AS (SELECT r, {counts}, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS spans
+        FROM ({union}) GROUP BY r)""")
+    zero = ", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in rules)
+    return ",\n".join(out) + f"""
+SELECT doc_id, {zero}, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(t) AS blob_sha256
+FROM d LEFT JOIN found USING (r)"""
+
+
 def hard_negatives_sql() -> str:
     low, high = hard_negatives.LOW, hard_negatives.HIGH
     return f"""
@@ -158,6 +185,7 @@ ORACLE: dict[str, str] = {
     "op2_warc_revisits": warc_sql(),
     "op7_line_windows": line_windows_sql(),
     "op8_exact_topk": topk_sql(),
+    "op9_secret_ledger": secret_ledger_sql(),
     "op13_hard_negatives": hard_negatives_sql(),
     "op10_mixing": f"WITH {mixing_sql()}\nSELECT * FROM mixed",
 }

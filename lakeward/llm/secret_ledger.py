@@ -103,11 +103,10 @@ def scan_history(
     versions = _versions(docs, id_col, text_col)
     ids = stage(versions.select("doc_id", "blob"), "versions")
     todo = stage(unseen(ids, read_ledger(spark, ledger_path), rules), "unseen")
-    v, w = versions.alias("v"), todo.alias("w")
-    texts = v.join(w, (F.col("v.blob") == F.col("w.blob")) & F.col("v.doc_id").eqNullSafe(F.col("w.doc_id")))
-    found = _scan(texts.select("w.blob", "w.rules", "v.text"), rules)
-    # rows that repeat id and text are scanned alike; the ledger gets one of them
-    found.dropDuplicates(["blob"]).write.mode("append").parquet(ledger_path)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("path")
+    # rows that repeat id and text are one before anything is scanned
+    texts = versions.select(key, "blob", "text").dropDuplicates(["path", "blob"]).join(todo.select(key, "blob", "rules"), ["path", "blob"])
+    _scan(texts.select("blob", "rules", "text"), rules).write.mode("append").parquet(ledger_path)
 
     current = F.array(*[F.lit(r.id) for r in rules])
     findings = stage(

@@ -7,7 +7,8 @@ in a tree: first within groups of neighbouring shards, then per query.
 
 Vectors are fixed-point integers floor(scale * x), so scores are exact: a
 tile multiplies in float64 where no sum can reach 2^53 and in Python
-integers otherwise.
+integers otherwise.  Scores beyond a long rank exactly and are reported as the
+end of its range.
 
 Defined results: rows with a NULL id, or whose vector is NULL, empty or holds
 a NULL or non-finite component, take no part.  A query's own id is never
@@ -22,10 +23,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import stage
+from lakeward.llm.hard_negatives import fixed_point
+from lakeward.llm.scores import as_long, beyond
 
 SCALE = 1024
 QUERY_BLOCK = 1024
@@ -33,28 +36,20 @@ SHARD_ROWS = 1024
 MERGE_FANIN = 16
 
 
-def fixed_point(vec: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component, taken as double."""
-    return F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-
-
-def _usable(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    # a component whose scaled value has no long is out of the integers' range
-    finite = F.forall(
-        vec_col,
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float(1 << 62)),
-    )
+def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    vec = F.transform(vec_col, lambda x: x.cast("double"))
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & finite)
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), fixed_point(F.col(vec_col), scale).alias("vec"))
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec"))
 
 
 def _best(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> pd.DataFrame:
     """Each query's ``k`` best candidates of one tile, by score, then by id."""
-    top = int(np.abs(q).max()) * int(np.abs(c).max()) * q.shape[1]
-    if top < 1 << 53:
+    if q.dtype != object and c.dtype != object and float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < 2**53:
         scores = (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
     else:
-        scores = q.astype(object) @ c.astype(object).T
+        whole = lambda x: np.array([int(v) for v in x.ravel()], object).reshape(x.shape)
+        scores = whole(q) @ whole(c).T
     out = []
     for row, q_id in zip(scores, q_ids):
         idx = np.flatnonzero(c_ids != q_id)
@@ -62,12 +57,17 @@ def _best(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k:
             own = row[idx]
             idx = idx[own >= np.partition(own, len(own) - k)[len(own) - k]]  # all ties of the k-th stay for now
         best = sorted(zip((-row[idx]).tolist(), c_ids[idx].tolist()))[:k]
-        out.append(pd.DataFrame({"query_id": q_id, "vec_id": [b for _, b in best], "score": [-a for a, _ in best]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        out += [(int(q_id), int(i), as_long(int(-s)), beyond(int(-s))) for s, i in best]
+    return _hits(out)
+
+
+def _hits(rows: list[tuple[int, int, int, str | None]]) -> pd.DataFrame:
+    ids = {name: np.array([r[k] for r in rows], np.int64) for k, name in enumerate(("query_id", "vec_id", "score"))}
+    return pd.DataFrame({**ids, "cut_off": pd.Series([r[3] for r in rows], dtype=object)})
 
 
 def _limit_per_query(df: DataFrame, keys: list[str], k: int) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc_nulls_last("cut_off"), "vec_id")
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -76,29 +76,28 @@ def top_k(
     scale: int = SCALE, query_block: int = QUERY_BLOCK, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` highest scores, ties to the smaller vec_id."""
-    cand = _usable(candidates, id_col, vec_col, scale)
-    quer = _usable(queries, id_col, vec_col, scale).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    quer = stage(quer, "queries")
+    # a number of its own spreads rows that repeat an id and a vector
+    cand = _usable(candidates, id_col, vec_col).withColumn("own", F.monotonically_increasing_id())
+    quer = stage(_usable(queries, id_col, vec_col).groupBy("vec_id").agg(F.min("vec").alias("vec")), "queries")
     sizes = [cand.count(), quer.count()]
     shards, blocks = max(1, -(-sizes[0] // shard_rows)), max(1, -(-sizes[1] // query_block))
-    # dealt by a hash of id and vector, so neither order nor repeated ids fill one block
-    dealt = lambda df, n: df.withColumn("part", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(n)).cast("int"))
+    dealt = lambda df, by, n: df.withColumn("part", F.pmod(F.xxhash64(by), F.lit(n)).cast("int"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    tile_c = dealt(cand, shards).withColumnRenamed("part", "shard").withColumn("block", every(blocks))
-    tile_q = dealt(quer, blocks).withColumnRenamed("part", "block").withColumn("shard", every(shards))
+    tile_c = dealt(cand, "own", shards).drop("own").withColumnRenamed("part", "shard").withColumn("block", every(blocks))
+    tile_q = dealt(quer, "vec_id", blocks).withColumnRenamed("part", "block").withColumn("shard", every(shards))
 
     def tile(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = []
         for n, qs in q.groupby(q["vec"].str.len()) if len(q) else ():
             cs = c[c["vec"].str.len() == n]
             if len(cs):
-                found.append(_best(np.stack(qs["vec"]), qs["vec_id"].to_numpy(), np.stack(cs["vec"]), cs["vec_id"].to_numpy(), k))
-        out = pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return out.assign(shard=key[0])
+                whole = lambda rows: fixed_point(np.stack(rows["vec"]), scale)
+                found.append(_best(whole(qs), qs["vec_id"].to_numpy(), whole(cs), cs["vec_id"].to_numpy(), k))
+        return (pd.concat(found) if found else _hits([])).assign(shard=key[0])
 
     lists = (
         tile_q.groupBy("shard", "block").cogroup(tile_c.groupBy("shard", "block"))
-        .applyInPandas(tile, "query_id long, vec_id long, score long, shard int")
+        .applyInPandas(tile, "query_id long, vec_id long, score long, cut_off string, shard int")
     )
     while shards > 1:  # merge the lists of neighbouring shards, level by level
         shards = -(-shards // MERGE_FANIN)

@@ -136,6 +136,8 @@ def train(
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "idx": pd.Series(idx, dtype=object)})
 
     rows = texts.join(F.broadcast(sample), "doc_id").mapInPandas(featured, "doc_id long, label int, idx array<int>")
+    # rows that repeat an id are one (the smallest), so the bound holds for rows too
+    rows = rows.groupBy("doc_id", "label").agg(F.min("idx").alias("idx"))
     # dealt by a hash and written once; each epoch's tasks then read their shards where they lie
     rows = stage(rows.repartition(shards, F.xxhash64("doc_id", F.lit(1))), "sample").coalesce(shards)
     sc = docs.sparkSession.sparkContext

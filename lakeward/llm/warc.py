@@ -103,11 +103,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     found = ranged.withColumn("near", F.max(full).over(earlier)).join(carried, ["url_key", "range"], "left")
     found = found.withColumn("source", F.when(
         (F.col("status") == NOT_MODIFIED) & F.col("at").isNotNull(), F.coalesce("near", "carried")))
-    tag, date = header(F.col("headers"), "etag"), header(F.col("headers"), "last-modified")
+    # a 304 is validated by weak comparison: W/"a" and "a" are the same
+    opaque = lambda headers: F.regexp_replace(header(headers, "etag"), "^W/", "")
+    tag, date = opaque(F.col("headers")), header(F.col("headers"), "last-modified")
     outcome = (
         F.when(F.col("status") == FULL, "full").when(~F.col("status").eqNullSafe(F.lit(NOT_MODIFIED)), "other")
         .when(F.col("source").isNull(), "no_earlier")
-        .when(tag.isNotNull(), F.when(tag.eqNullSafe(header(F.col("source.headers"), "etag")), "resolved").otherwise("mismatch"))
+        .when(tag.isNotNull(), F.when(tag.eqNullSafe(opaque(F.col("source.headers"))), "resolved").otherwise("mismatch"))
         .when(date.isNotNull(), F.when(
             date.eqNullSafe(header(F.col("source.headers"), "last-modified")), "resolved").otherwise("mismatch"))
         .otherwise("trusted")

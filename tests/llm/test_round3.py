@@ -325,3 +325,68 @@ def test_hard_negatives_sql(spark):
     want = con.execute(ORACLE["op13_hard_negatives"]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.to_numpy().tolist()))
+
+
+# -- edges of earlier operators -----------------------------------------------------------------------------------------
+
+
+def test_topk_of_huge_components(spark):
+    from lakeward.llm import topk
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.uniform(-1, 1, 3) * 10.0 ** rng.choice([0, 12, 16, 160, 306])], 1) for i in range(70)]
+    rows += [(500 + i, rows[3][1], 1) for i in range(30)]
+    df = vectors_of(spark, rows)
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 10 = 0"), query_block=3, shard_rows=8).collect()]
+    whole = {i: [1024 * a // b for a, b in (float(x).as_integer_ratio() for x in v)] for i, v, _ in rows}
+    want = []
+    for q in (i for i in whole if i % 10 == 0):
+        scores = sorted((-sum(x * y for x, y in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        want += [(q, k, i, as_long(-s)) for k, (s, i) in enumerate(scores[:10], 1)]
+    assert sorted(got) == sorted(want) and any(r[3] == MOST for r in got)
+
+
+def test_a_third_of_all_rows_repeated(spark):
+    """Rows that repeat an id (NULL too) and a text are one before texts are cut, scanned or learnt from."""
+    from lakeward.llm import exact_dedup, toxicity
+
+    texts = [(None, "")] * 3000 + [(k, f"text {k}") for k in range(100)] + [(7, "text 7")] * 500 + [(900, "text 7")]
+    got = exact_dedup.exact_duplicates(docs_of(spark, texts)).collect()
+    assert len(got) == len(texts) and sum(r.kept for r in got) == 101
+    assert exact_dedup.drop_exact_duplicates(docs_of(spark, texts)).count() == 101
+    labels = spark.createDataFrame([(k, k % 2) for k in range(100)], "doc_id long, toxic int")
+    model = toxicity.train(docs_of(spark, texts), labels, max_rows=60, bits=10, epochs=1)
+    once = toxicity.train(docs_of(spark, [(k, f"text {k}") for k in range(100)]), labels, max_rows=60, bits=10, epochs=1)
+    assert np.array_equal(model.weight, once.weight) and np.array_equal(model.idx, once.idx)
+
+
+def test_weak_entity_tags_validate(spark):
+    from lakeward.llm import warc
+
+    row = lambda i, day, status, tag: (i, "http://a/b", f"2024-01-0{day}", status, [("ETag", tag)], "d" if status == warc.FULL else None)
+    rows = [row(1, 1, warc.FULL, '"a"'), row(2, 2, warc.NOT_MODIFIED, 'W/"a"'), row(3, 3, warc.NOT_MODIFIED, '"b"'),
+            row(4, 4, warc.FULL, 'W/"c"'), row(5, 5, warc.NOT_MODIFIED, '"c"'), row(6, 6, warc.NOT_MODIFIED, 'w/"c"')]
+    df = spark.createDataFrame(rows, "record_id long, url string, ts string, status string, "
+                                     "headers array<struct<name:string,value:string>>, payload_digest string")
+    df = df.withColumn("ts", F.to_timestamp("ts"))
+    got = {r.record_id: r.outcome for r in warc.resolve_revisits(df).collect()}
+    assert got == {1: "full", 2: "resolved", 3: "mismatch", 4: "full", 5: "resolved", 6: "mismatch"}
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_warc_revisits", "op7_line_windows", "op8_exact_topk", "op9_secret_ledger", "op10_mixing"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from lakeward.llm.oracle import ORACLE
+    from lakeward.llm.queries import QUERIES
+    from tools.oracle_check import digest
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    got = QUERIES[name](spark, sf)
+    cur = con.execute(ORACLE[name])
+    columns, rows = [d[0] for d in cur.description], cur.fetchall()
+    assert sorted(got.columns) == sorted(columns)
+    assert digest(got.columns, [tuple(r) for r in got.collect()]) == digest(columns, rows)
