@@ -38,7 +38,7 @@ from lakeward.llm.common import stage, text_or_empty
 
 LEXICON_WORDS = 32_768
 #: Words, and pieces of text between blanks, that a worker remembers in each of two generations.
-WORD_MEMO, PIECE_MEMO = 120_000, 80_000
+WORD_MEMO, PIECE_MEMO = 220_000, 80_000
 #: Word pieces that a task counts before it passes them on.
 COUNT_FLUSH = 300_000
 #: Longer words are not put into the lexicon (they are merged like any other unseen word), so its size is bounded.
