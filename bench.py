@@ -30,7 +30,7 @@ import time
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
-from lakeward.operators.contracts import run_contracts  # noqa: E402
+from lakeward.operators.contract_runs import run_contracts_once  # noqa: E402
 from lakeward.operators.table_store import TableStore  # noqa: E402
 from lakeward.plans.contract_specs import SOURCE_ADDRESSES, SOURCE_CUSTOMERS, declared_tests  # noqa: E402
 from lakeward.plans.models import MODELS, Run  # noqa: E402
@@ -56,7 +56,7 @@ def contracts_on(chain: StoredChain) -> None:
               for name, info in MODELS.items()}
     tables[SOURCE_CUSTOMERS] = chain.raw("customers")
     tables[SOURCE_ADDRESSES] = chain.raw("addresses")
-    run_contracts(tables, declared_tests()).collect()
+    run_contracts_once(tables, declared_tests(), f"{chain.store.base}/contracts").collect()
 
 
 def timed(fn) -> float:

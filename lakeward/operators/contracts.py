@@ -183,7 +183,8 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, field: str) ->
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast(T.LongType()).alias("failures"))
 
 
-def _result(t: ContractTest, failures: Column) -> list[Column]:
+def result_columns(t: ContractTest, failures: Column) -> list[Column]:
+    """A result row's columns for a test with ``failures``."""
     status = (F.when(failures == 0, F.lit("pass"))
               .when(F.lit(t.severity) == "warn", F.lit("warn")).otherwise(F.lit("fail")))
     return [
@@ -215,18 +216,18 @@ def run_contracts(
         valued = [t for t in model_tests if t.test == ACCEPTED]
         for group, agg in ((scanned, lambda g: df.agg(*scan_failures(df, g))), (valued, lambda g: bad_value_counts(df, g))):
             if group:
-                rows = [F.struct(*_result(t, F.col(f"m{i}"))) for i, t in enumerate(group)]
+                rows = [F.struct(*result_columns(t, F.col(f"m{i}"))) for i, t in enumerate(group)]
                 parts.append(agg(group).select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
         keyed = [t for t in model_tests if t.test in (UNIQUE, UNIQUE_COMBO)]
         if keyed:
             sets = [(t.columns, t.test == UNIQUE) for t in keyed]
             counts = duplicate_group_counts(df, sets)
-            rows = [F.struct(*_result(t, F.col(f"d{i}"))) for i, t in enumerate(keyed)]
+            rows = [F.struct(*result_columns(t, F.col(f"d{i}"))) for i, t in enumerate(keyed)]
             parts.append(counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
         for t in model_tests:
             if t.test == RELATIONSHIPS:
                 res = orphan_rows(df, t.columns[0], tables[t.to], t.field)
-                parts.append(res.select(*_result(t, F.col("failures"))))
+                parts.append(res.select(*result_columns(t, F.col("failures"))))
     if not parts:
         raise ValueError("no tests to run")
     out = union_all(parts)

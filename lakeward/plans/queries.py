@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from lakeward.operators.frames import union_all
 from lakeward.functions.hashing import surrogate_key
 from lakeward.operators import cdc
 from lakeward.operators.audit import batch_audit, load_summary
-from lakeward.operators.contracts import run_contracts
+from lakeward.operators.contract_runs import run_contracts_once
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness
 from lakeward.operators.landing import append_stamp, landing_reload, rows_affected
@@ -35,6 +36,7 @@ from lakeward.plans.models import CDC_MODELS, MODELS, Run
 from lakeward.plans.pipeline import TwoDayPipeline, load_stamp
 from lakeward.plans.runner import schema_of
 from lakeward.plans.stored import StoredChain, scratch_store
+from lakeward.session import shared_folder
 from lakeward.sources.readers import DriverTables
 from lakeward.sources.schemas import ENTITIES
 
@@ -178,7 +180,8 @@ def _tables_for(p: TwoDayPipeline, tests) -> dict[str, DataFrame]:
 
 
 def _contracts(p: TwoDayPipeline, tests) -> DataFrame:
-    return run_contracts(_tables_for(p, tests), tests)
+    folder = f"{shared_folder(p.spark)}/contracts-{uuid4().hex[:10]}"
+    return run_contracts_once(_tables_for(p, tests), tests, folder)
 
 
 def contract_report(spark, sf_dir):

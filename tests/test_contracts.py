@@ -88,3 +88,56 @@ def test_preset_shuffle_partitions_survive(spark):
         assert get_spark().conf.get("spark.sql.shuffle.partitions") == "2000"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_written_once_equals_the_lazy_run(spark, tables, scratch):
+    from pyspark.sql import functions as F
+
+    from lakeward.operators.contract_runs import run_contracts_once
+    from lakeward.operators.contracts import expression_is_true
+
+    tests = [
+        not_null("child", "id"), unique("child", "id", "warn"), unique("child", "gender"),
+        accepted_values("child", "gender", ["M", "F"], "warn"), accepted_values("child", "line", [1, 2]),
+        relationships("child", "parent_id", "parent", "pid"),
+        unique_combination("child", ["id", "line"]), unique_combination("child", ["gender", "line"]),
+        unique_combination("child", ["line", "gender"]), unique("parent", "pid"), not_null("parent", "pid"),
+        expression_is_true("child", "small", "line < 3", "warn"),
+    ]
+    key = lambda df: sorted(map(tuple, df.collect()))
+    lazy = key(run_contracts(tables, tests))
+    assert key(run_contracts_once(tables, tests, f"{scratch}/a")) == lazy
+    # hashes that meet by chance are told from repeated keys
+    weak = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(2))
+    assert key(run_contracts_once(tables, tests, f"{scratch}/b", weak)) == lazy
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert key(run_contracts_once(empty, tests, f"{scratch}/c")) == key(run_contracts(empty, tests))
+
+
+def test_each_view_is_evaluated_once(spark, scratch):
+    """A column that counts its evaluations: one for each row, whatever the number of tests."""
+    from pyspark.sql import functions as F
+
+    from lakeward.operators.contract_runs import run_contracts_once
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+
+    view = spark.range(50).select(F.udf(count, "long")("id").alias("id"), (F.col("id") % 3).cast("string").alias("g"))
+    tests = [not_null("v", "id"), unique("v", "id"), accepted_values("v", "g", ["0", "1"]),
+             unique_combination("v", ["id", "g"]), relationships("v", "id", "v", "id")]
+    out = {r.test: r.failures for r in run_contracts_once({"v": view}, tests, scratch).collect()}
+    assert out == {"not_null": 0, "unique": 0, "accepted_values": 1, "unique_combination_of_columns": 0, "relationships": 0}
+    assert seen.value == 50
+
+
+def test_keys_are_looked_at_by_their_hashes(spark):
+    from lakeward.operators.contract_runs import repeated_hashes
+
+    df = spark.createDataFrame([("a", "b"), ("a", "b")], "x string, y string")
+    plan = repeated_hashes(df, ["x", "y"], False)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "Expand" not in plan and shuffled and not any("x#" in line or "y#" in line for line in shuffled)
