@@ -21,11 +21,13 @@ from lakeward.functions.hashing import surrogate_key
 from lakeward.operators import cdc
 from lakeward.operators.audit import batch_audit, load_summary
 from lakeward.operators.contract_runs import run_contracts_once
+from lakeward.operators import declared
 from lakeward.operators.dedupe import dedupe_latest
 from lakeward.operators.freshness import check_freshness
 from lakeward.operators.landing import append_stamp, landing_reload, rows_affected
 from lakeward.operators.lineage import value_leaks
 from lakeward.operators.vault import cross_verify, lookup, lookup_by_clear_value
+from lakeward.plans.append_jobs import APPEND_EXTRACTS, APPEND_TABLES
 from lakeward.plans.contract_specs import (
     SOURCE_ADDRESSES,
     SOURCE_CUSTOMERS,
@@ -208,6 +210,21 @@ def landing_append_order_headers(spark, sf_dir):
     return append_stamp(h, "ERP", APPEND_LOAD_TS)
 
 
+def _append_history_query(entity: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        p, name = _pipe(spark, sf_dir), f"lakeward_{uuid4().hex[:10]}"
+        spark.sql(f"CREATE DATABASE `{name}` LOCATION '{shared_folder(spark)}/{name}'")
+        # yesterday's account numbers are wider than the declared column, so customers are loaded as of today both times
+        days = (2, 2) if entity == "customers" else (1, 2)
+        for n, day in ((1, days[0]), (2, days[1]), (2, days[1])):  # the second load is repeated
+            rows = APPEND_EXTRACTS[entity](p.ops(day))
+            declared.load(rows, APPEND_TABLES[entity], name, f"load-{n}", APPEND_LOAD_TS.replace(day=n))
+        return declared.history(spark, APPEND_TABLES[entity], name)
+
+    q.__doc__ = f"Two loads of {entity}, the second one repeated, in the append layout's declared table."
+    return q
+
+
 def freshness_report(spark, sf_dir):
     """Freshness of the seven raw tables at a fixed check time."""
     p = _pipe(spark, sf_dir)
@@ -412,6 +429,8 @@ def build_queries() -> dict[str, Query]:
         q[f"contract_{kind}"] = _contract_kind(kind)
     q["contract_identities"] = contract_identities
     q["landing_append_order_headers"] = landing_append_order_headers
+    for entity in APPEND_TABLES:
+        q[f"append_history_{entity}"] = _append_history_query(entity)
     q["freshness_report"] = freshness_report
     q["vault_lookup_sk"] = vault_lookup_sk
     q["vault_lookup_id"] = vault_lookup_id

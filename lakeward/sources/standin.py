@@ -63,6 +63,7 @@ def customers_side(t: DriverTables) -> dict[str, DataFrame]:
         F.when(F.col("c_mktsegment") == "BUILDING", (F.col("c_nationkey") + 1000).cast(INT)).alias("StoreID"),
         F.col("c_nationkey").cast(INT).alias("TerritoryID"),
         F.concat(F.lit("AW"), F.lpad(_s("c_custkey"), 8, "0")).alias("AccountNumber"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("store"), _s("c_custkey"), F.lit(".example"))).alias("Website"),
     )
     person = person_rows.select(
         F.col("c_custkey").cast(INT).alias("BusinessEntityID"),
@@ -80,6 +81,10 @@ def customers_side(t: DriverTables) -> dict[str, DataFrame]:
         F.col("c_custkey").cast(INT).alias("BusinessEntityID"),
         F.concat(F.lit("555-"), F.lpad(_s("c_custkey"), 7, "0")).alias("PhoneNumber"),
     )
+    demographics = person_rows.where(F.col("c_nationkey") % 2 == 0).select(
+        F.col("c_custkey").cast(INT).alias("BusinessEntityID"),
+        F.when(F.col("c_acctbal") < 0, "0-25000").otherwise("25001-50000").alias("YearlyIncome"),
+    )
     main = c.select(
         (F.col("c_custkey") * 2).cast(INT).alias("AddressID"),
         F.concat(_s("c_custkey"), F.lit(" Main St")).alias("AddressLine1"),
@@ -116,6 +121,7 @@ def customers_side(t: DriverTables) -> dict[str, DataFrame]:
         "person": person,
         "email_address": email,
         "person_phone": phone,
+        "person_demographics": demographics,
         "address": main.unionByName(second),
         "business_entity_address": links,
     }
