@@ -47,3 +47,25 @@ def test_loads_that_break_the_declaration_are_refused(spark, database):
         with pytest.raises(ValueError):
             load(bad, TABLE, database, "x", DAY)
     assert kept(spark, database) == [(1, "abc", "crm", True, 1)]
+
+
+def test_customers_keep_every_match_of_the_four_joins(spark, database):
+    """Two e-mails give two rows, stores have no person, absent demographics stay NULL."""
+    from lakeward.plans.append_jobs import APPEND_TABLES, customers_append_extract
+
+    ops = {
+        "customer": spark.createDataFrame(
+            [(1, 10, None, 5, "AW1", None), (2, None, 7, 5, "AW2", "w.example"), (3, 11, None, 6, "AW3", None)],
+            "CustomerID int, PersonID int, StoreID int, TerritoryID int, AccountNumber string, Website string"),
+        "person": spark.createDataFrame(
+            [(10, "Ann", "Lee"), (11, None, "Low")], "BusinessEntityID int, FirstName string, LastName string"),
+        "email_address": spark.createDataFrame([(10, "a@x.example"), (10, "b@x.example")], "BusinessEntityID int, EmailAddress string"),
+        "person_phone": spark.createDataFrame([(11, "555")], "BusinessEntityID int, PhoneNumber string"),
+        "person_demographics": spark.createDataFrame([(10, "0-25000")], "BusinessEntityID int, YearlyIncome string"),
+    }
+    assert load(customers_append_extract(ops), APPEND_TABLES["customers"], database, "x", DAY) == 4
+    rows = history(spark, APPEND_TABLES["customers"], database)
+    got = sorted(rows.select("customer_id", "name", "email_address", "phone", "website", "annual_income").collect(), key=str)
+    assert [tuple(r) for r in got] == [
+        (1, "Ann Lee", "a@x.example", None, None, "0-25000"), (1, "Ann Lee", "b@x.example", None, None, "0-25000"),
+        (2, "Unknown", None, None, "w.example", None), (3, "Unknown", None, "555", None, None)]
