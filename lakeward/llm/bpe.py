@@ -26,7 +26,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import repeat
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -48,6 +48,7 @@ SHORT = 48
 #: What the tokenizer file's format fixes: how words are found, and the mark of a word's end.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
+BYTES = [bytes([b]) for b in range(256)]
 #: Characters that str.split() takes for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -65,49 +66,57 @@ class Vocabulary:
     def __init__(self, raw: str):
         spec = json.loads(raw)
         self.ids: dict[str, int] = spec["model"]["vocab"]
-        self.merges = {tuple(pair): rank for rank, pair in enumerate(spec["model"]["merges"])}
+        self.bits = max(self.ids.values(), default=0).bit_length()
+        #: Of each pair of ids that merges: its rank and the id of what it becomes, in one integer that is ordered by rank.
+        self.merges = {
+            self.ids[a] << self.bits | self.ids[b]: rank << self.bits | self.ids[a + b]
+            for rank, (a, b) in enumerate(spec["model"]["merges"])}
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.tokens = [""] * (max([*self.ids.values(), *self.added.values()]) + 1)
         for token, i in [*self.ids.items(), *self.added.items()]:
             self.tokens[i] = token
-        self.chars = byte_chars()
+        self.mask, self.none = (1 << self.bits) - 1, len(spec["model"]["merges"]) << self.bits
+        chars = byte_chars()
+        #: Ids of the bytes within a word and at its end; a byte that the file lacks fails the word that has it.
+        self.first = {b: self.ids[c] for b, c in enumerate(chars) if c in self.ids}
+        self.last = {b: self.ids[c + END] for b, c in enumerate(chars) if c + END in self.ids}
         self.special = re.compile("|".join(map(re.escape, self.added))) if self.added else None
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of a word: of all neighbouring pairs the one with the lowest rank, then leftmost, merges first."""
-        parts = [self.chars[b] for b in word]
-        parts[-1] += END
-        return [self.ids[p] for p in (self._merged_short(parts) if len(parts) <= SHORT else self._merged_long(parts))]
+        parts = [*map(self.first.__getitem__, word[:-1]), self.last[word[-1]]]
+        return self._merged_short(parts) if len(parts) <= SHORT else self._merged_long(parts)
 
-    def _merged_short(self, parts: list[str]) -> list[str]:
+    def _merged_short(self, parts: list[int]) -> list[int]:
         """By looking at all ranks for each merge."""
-        rank, none = self.merges.get, len(self.merges)
-        ranks = list(map(rank, zip(parts, parts[1:]), repeat(none)))
+        merge, bits, none = self.merges.get, self.bits, self.none
+        ranks = [merge(a << bits | b, none) for a, b in pairwise(parts)]
         while ranks and (least := min(ranks)) < none:
             i = ranks.index(least)
-            parts[i:i + 2] = (parts[i] + parts[i + 1],)
-            del ranks[i]
+            parts[i] = made = least & self.mask
+            del parts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), none)
+                ranks[i] = merge(made << bits | parts[i + 1], none)
             if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = merge(parts[i - 1] << bits | made, none)
         return parts
 
-    def _merged_long(self, parts: list[str | None]) -> list[str]:
+    def _merged_long(self, parts: list[int | None]) -> list[int]:
         """By a heap of pairs."""
+        merge, bits = self.merges.get, self.bits
         right, left = [*range(1, len(parts)), -1], [-1, *range(len(parts) - 1)]
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := self.merges.get((a, b))) is not None]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(pairwise(parts)) if (r := merge(a << bits | b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            made, i, a, b = heapq.heappop(heap)
             j = right[i]
             if parts[i] != a or j < 0 or parts[j] != b:
                 continue  # one of the two has merged with another since
-            parts[i], parts[j], right[i] = a + b, None, right[j]
+            parts[i], parts[j], right[i] = made & self.mask, None, right[j]
             if right[j] >= 0:
                 left[right[j]] = i
             for k in (left[i], i):
-                if k >= 0 and right[k] >= 0 and (r := self.merges.get((parts[k], parts[right[k]]))) is not None:
+                if k >= 0 and right[k] >= 0 and (r := merge(parts[k] << bits | parts[right[k]])) is not None:
                     heapq.heappush(heap, (r, k, parts[k], parts[right[k]]))
         return [p for p in parts if p is not None]
 
@@ -123,6 +132,11 @@ def normalised(text: str) -> str:
     return text.lower()
 
 
+def _words(piece: str) -> list[str]:
+    """The words of a piece; one of ASCII letters alone is its only word."""
+    return [piece] if piece.isascii() and piece.isalpha() else WORD.findall(piece)
+
+
 def _pieces(text: str) -> list[str]:
     return text.split() if not SEPARATORS.search(text) else regex.findall(r"\S+", text)
 
@@ -227,15 +241,16 @@ class Transducer:
     def get(self, word: bytes) -> list[int] | None:
         """The word's ids, or None if the lexicon does not hold it."""
         state, out = self.root, []
+        find, labels, first, targets, outs = self.map.find, self.labels, self.first, self.targets, self.outs
         for c in word:
-            a = self.map.find(c.to_bytes(), self.labels + self.first[state], self.labels + self.first[state + 1])
+            a = find(BYTES[c], labels + first[state], labels + first[state + 1])
             if a < 0:
                 return None
-            arc = a - self.labels
-            at, n = self.outs[2 * arc], self.outs[2 * arc + 1]
-            if n:
+            arc = a - labels
+            if n := outs[2 * arc + 1]:
+                at = outs[2 * arc]
                 out.extend(self.pool[at:at + n])
-            state = self.targets[arc]
+            state = targets[arc]
         final, at, n = self.finals[3 * state:3 * state + 3]
         if not final:
             return None
@@ -277,7 +292,7 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, WORD.findall(piece)))
+        return b"".join(map(self.words.__getitem__, _words(piece)))
 
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, _pieces(normalised(text))))
@@ -310,7 +325,7 @@ def frequent_words(docs: DataFrame, n: int = LEXICON_WORDS, text_col: str = "tex
         def sums() -> pd.DataFrame:
             words: Counter[str] = Counter()
             for piece, k in pieces.items():
-                for w in WORD.findall(piece):
+                for w in _words(piece):
                     words[w] += k
             pieces.clear()
             return pd.DataFrame({"word": list(words), "n": list(words.values())})

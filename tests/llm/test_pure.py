@@ -72,6 +72,16 @@ def test_encoding_equals_the_tokenizers_library(vocabulary):
         assert vocabulary.decode(ids) == tokenizer.decode(expected, skip_special_tokens=False)
 
 
+def test_merges_go_by_ids_alone(vocabulary):
+    assert all(type(pair) is int and type(made) is int for pair, made in vocabulary.merges.items())
+    rng = random.Random(9)
+    for n in (1, 2, 9, bpe.SHORT, 200):
+        parts = [vocabulary.first[b] for b in rng.choices(b"aeinorst", k=n)]
+        assert vocabulary._merged_short(parts[:]) == vocabulary._merged_long(parts[:])
+    for piece in ("abc", "it's", "s", "a1", "\xe9t\xe9", "-", "'ll", "ab'"):
+        assert bpe._words(piece) == bpe.WORD.findall(piece)
+
+
 def test_transducer_holds_its_words_and_no_others():
     rng = random.Random(3)
     entries = {}
