@@ -2,13 +2,16 @@
 
 import os
 from datetime import date, datetime
+from functools import cached_property
 
 from pyspark.sql import functions as F
 
+from lakeward.operators import declared
 from lakeward.operators.contract_runs import run_contracts_once, write_tested
 from lakeward.operators.contracts import not_null, unique
 from lakeward.operators.landing import LoadStamp, landing_merge_feed, stamp
 from lakeward.operators.table_store import SHUFFLE_CLEANUP, TableStore
+from lakeward.plans import queries
 from lakeward.plans.landing_jobs import PRINTED_LATER, unprinted
 from lakeward.plans.pipeline import TwoDayPipeline
 from lakeward.sources.schemas import ENTITIES, IS_DELETED, RAW_HASH
@@ -59,6 +62,25 @@ def test_lines_by_order_need_the_exchange_of_their_numbering_alone(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_loads_of_lines_read_them_numbered(spark, monkeypatch):
+    class Source(TwoDayPipeline):
+        yesterday_ops = cached_property(_Lines.yesterday_ops.fget)
+
+    p, plans, load = Source(spark, "none"), [], declared.load
+    p.today_ops = _Lines(spark).today_ops
+
+    def seen(rows, *rest):
+        plans.append(_plan(rows))
+        return load(rows, *rest)
+
+    monkeypatch.setattr(queries, "_pipe", lambda *_: p)
+    monkeypatch.setattr(declared, "load", seen)
+    rows = queries.build_queries()["append_history_order_details"](spark, "none")
+    assert len(plans) == 3 and not any("Exchange" in plan for plan in plans)
+    second = rows.where(F.dayofmonth("_load_dt") == 2).select("sales_order_id", "sales_order_detail_id", "product_id").collect()
+    assert sorted(map(tuple, second)) == [(1, 1, 7), (1, 2, 8), (1, 3, 8), (2, 1, 9)]
+
+
 def test_late_fingerprints_are_those_of_the_extracts(spark):
     p = _Lines(spark)
     extract, spec = p.extract("order_details", 2), ENTITIES["order_details"]
