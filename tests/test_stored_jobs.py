@@ -154,3 +154,4 @@ def test_input_bytes_are_those_of_the_files(spark, scratch):
     df = spark.read.parquet(f"{scratch}/t")
     one = input_bytes(df)
     assert one > 0 and input_bytes(df.groupBy("id").count()) == one and input_bytes(df.union(df)) == 2 * one
+    assert input_bytes(spark.createDataFrame([(1,)], "a int").union(df.selectExpr("cast(id as int) a"))) in range(one, one + 100)
